@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmill.llm import decontaminate, packing, token_counts
+from quillmill.llm import decontaminate, packing, quality_classifier, token_counts, toxicity
 from quillmill.llm.store import read_table
 
 
@@ -19,14 +19,24 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated_pairs(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op4_decontamination": op4_decontamination,
+    "op6_toxicity": op6_toxicity,
     "op8_packing": op8_packing,
+    "op9_quality_classifier": op9_quality_classifier,
 }
 
 _WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
