@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmill.llm import decontaminate, packing, quality_classifier, token_counts, toxicity
+from quillmill.llm import decontaminate, packing, pii, quality_classifier, quality_rules, token_counts, toxicity
 from quillmill.llm.store import read_table
 
 
@@ -15,10 +15,22 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"), vocabulary)
 
 
+#: Pseudonyms of the registered queries; production runs pass a secret of their own.
+PII_KEY = "quillmill-demonstration-key"
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(read_table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY, count_col="n_replaced")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated_pairs(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(read_table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -33,7 +45,9 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_token_counts": op2_token_counts,
+    "op3_pii": op3_pii,
     "op4_decontamination": op4_decontamination,
+    "op5_quality_rules": op5_quality_rules,
     "op6_toxicity": op6_toxicity,
     "op8_packing": op8_packing,
     "op9_quality_classifier": op9_quality_classifier,
