@@ -33,7 +33,7 @@ _SSN = r"\d{3}-\d\d-\d{4}(?![0-9\-])"
 _IP = r"\d{1,3}(?:\.\d{1,3}){3}(?![0-9]|\.[0-9])"
 _CARD = r"(?:\d{4}([ \-]?)\d{4}\1\d{4}\1\d{1,7}|\d{13,19})(?![0-9])"
 #: A value does not start within a run of letters and digits; kinds are tried in this order.
-PATTERN = r"(?<![\p{L}\p{N}._%+\-])(?:" + _MAIL + r")|(?<![\p{L}\p{N}+])" + _PHONE + r"|(?<![\p{L}\p{N}])(?:(?=[0-9A-Za-f])(?:" + "|".join((_SECRET, _DATE, _SSN, _IP, _CARD)) + ")|" + _IBAN + ")"
+PATTERN = r"(?<![\p{L}\p{N}._%+\-])(?:" + _MAIL + r")|(?<![\p{L}\p{N}+])" + _PHONE + r"|(?<![\p{L}\p{N}])(?<![0-9]\.)(?:(?=[0-9A-Za-f])(?:" + "|".join((_SECRET, _DATE, _SSN, _IP, _CARD)) + ")|" + _IBAN + ")"
 
 
 def let(value: Column, then) -> Column:
