@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmill.llm import decontaminate, packing, pii, quality_classifier, quality_rules, substring_dedup, suffix_dedup, token_counts, toxicity
+from quillmill.llm import decontaminate, jaccard_join, packing, pii, quality_classifier, quality_rules, substring_dedup, suffix_dedup, token_counts, toxicity
 from quillmill.llm.store import read_table
 
 
@@ -51,6 +51,16 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_token_counts": op2_token_counts,
@@ -61,6 +71,8 @@ QUERIES = {
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_packing": op8_packing,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_jaccard_join": op10_jaccard_join,
+    "pipeline": pipeline,
 }
 
 _WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
