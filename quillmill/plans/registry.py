@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from quillmill.plans import catalogs, corpora, ledgers, screening  # noqa: F401  they register their queries
+from quillmill.plans.base import ORACLE, QUERIES
+
+__all__ = ["ORACLE", "QUERIES"]
