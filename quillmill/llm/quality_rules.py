@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillmill.llm.store import written
+
 COMMON, CLASS_LIMIT, WORD_LIMIT = 0.004, 0.27, 0.42
 MIN_WORDS, MIN_REFERENCE = 50, 2000
 #: Most languages whose references are broadcast (each at most a few hundred words); beyond, an ordinary join is used.
@@ -95,7 +97,7 @@ def references(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     }
     sums = rows.select("lang", *(v.cast("long").alias(k) for k, v in count.items())).groupBy("lang").agg(*(F.sum(k).alias(k) for k in count))
     classes = sums.select("lang", F.array(*(F.col(k).cast("double") for k in CLASSES[:-1]), (F.col("chars") - F.col("lower") - F.col("upper") - F.col("digit") - F.col("blank") - F.col("symbol")).cast("double")).alias("ref_classes"))
-    counted = rows.select("lang", F.explode(words_of(text)).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
+    counted = written(rows.select("lang", F.explode(words_of(text)).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n")), "words")  # read several times
     total = counted.groupBy("lang").agg(F.sum("n").alias("total")).where(F.col("total") >= MIN_REFERENCE)
     common = counted.join(F.broadcast(total), "lang").where(F.col("n") >= COMMON * F.col("total")) if total.count() <= BROADCAST_LANGUAGES else counted.join(total, "lang").where(F.col("n") >= COMMON * F.col("total"))
     words = common.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("word", (F.col("n") / F.col("total")).alias("share")))).alias("w"))  # at most 1 / COMMON words each
@@ -135,7 +137,7 @@ def common_counts(words: Column, common: Column) -> Column:
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """doc_id, the base figures, base_failed, kept, and the two distances (null where not judged)."""
-    reference = references(docs, id_col, text_col, lang_col)
+    reference = written(references(docs, id_col, text_col, lang_col), "references")
     few = reference.count() <= BROADCAST_LANGUAGES
     rows = base_figures(docs, id_col, text_col, lang_col).join(F.broadcast(reference) if few else reference, "lang", "left")
     judged = ~F.col("base_failed") & (F.col("n_words") >= MIN_WORDS) & F.col("ref_words").isNotNull()
