@@ -6,7 +6,7 @@ import math
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmill.functions import textnorm as X
@@ -27,23 +27,24 @@ def chunks(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "t", "step", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("chunk")).select("doc_id", "chunk", F.substr("t", F.col("chunk") * F.col("step") + 1, F.lit(CHUNK_CHARS)).alias("part"))
 
 
-def _trigrams(text: Column) -> Column:
-    t = F.concat(F.lit(" "), F.lower(text), F.lit(" "))
-    return F.transform(F.sequence(F.lit(1), F.length(t) - 2), lambda i: F.substr(t, i, F.lit(3)))
+def _trigrams(characters: Column) -> Column:
+    """Each three characters in a row, of an array of single ones; a substring would count from the start each time."""
+    return F.transform(F.slice(characters, 1, F.greatest(F.size(characters) - 2, F.lit(0))), lambda c, i: F.concat(c, F.get(characters, i + 1), F.get(characters, i + 2)))
 
 
-def profiles(docs: DataFrame, text_chars: int = 1 << 30) -> dict[str, dict[str, float]]:
+def profiles(docs: DataFrame) -> dict[str, dict[str, float]]:
     """Log probabilities of each language's most frequent trigrams, and under "" that of any other.
 
     Counted over all rows; what comes to the driver is PROFILE rows for each language.
     """
-    grams = docs.where("text is not null and lang is not null and length(text) > 0").select("lang", F.explode(_trigrams(F.col("text"))).alias("g"))
-    counted = grams.groupBy("lang", "g").agg(F.count("*").alias("n"))
-    total = {r.lang: r.n for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    padded = F.concat(F.lit(" "), F.lower("text"), F.lit(" "))
+    rows = docs.where("text is not null and lang is not null and length(text) > 0").select("lang", F.split(padded, "").alias("c"))
+    counted = rows.select("lang", F.explode(_trigrams(F.col("c"))).alias("g")).groupBy("lang", "g").agg(F.count("*").alias("n"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "g"))
+    total = F.sum("n").over(Window.partitionBy("lang"))
     out: dict[str, dict[str, float]] = {}
-    for lang, n in sorted(total.items()):
-        top = counted.where(F.col("lang") == lang).orderBy(F.desc("n"), "g").limit(PROFILE).collect()
-        out[lang] = {r.g: math.log(r.n / n) for r in top} | {"": math.log(0.5 / n)}
+    for r in counted.withColumns({"rank": rank, "total": total}).where(F.col("rank") <= PROFILE).collect():
+        out.setdefault(r.lang, {"": math.log(0.5 / r.total)})[r.g] = math.log(r.n / r.total)
     return out
 
 

@@ -1 +1,237 @@
+"""Queries over text repair, lines, paragraphs, records and language identification."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillmill.functions import textnorm as X
+from quillmill.operators import lid, lines, records
+from quillmill.plans.base import query, table
+
+_TAG = r"</?[A-Za-z][A-Za-z0-9]*(?:\s[^<>]*)?/?>"
+_STRIPPED = rf"""stripped AS (SELECT page_id, replace(replace(replace(replace(replace(replace(replace(replace(replace(
+  CASE WHEN len(regexp_extract_all(substr(html, 1, 200000), '{_TAG}')) > 20 THEN regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
+    '(?is)<head\b.*?</head>', ' ', 'g'), '(?is)<script\b.*?</script>', ' ', 'g'), '(?is)<style\b.*?</style>', ' ', 'g'), '(?i)<br\s*/?>|</(?:p|div|h[0-9]|li|tr)>', chr(10), 'g'), '{_TAG}', ' ', 'g') ELSE html END,
+  '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''), '&nbsp;', chr(160)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') AS t FROM pages)"""
+_SPACE = "'[ \t  -  　]+'"
+_LETTERS = "length(regexp_replace({x}, '[^\\p{{L}}]', '', 'g'))"
+
+
+def _lines_sql(source: str, key: str, text: str) -> str:
+    """Rows (key, pos, line) of a table's texts, horizontal space collapsed."""
+    return f"(SELECT {key}, pos, trim(regexp_replace(line, {_SPACE}, ' ', 'g'), ' ') AS line FROM (SELECT {key}, unnest(l) AS line, unnest(range(0, len(l))) AS pos FROM (SELECT {key}, string_split({text}, chr(10)) AS l FROM {source})))"
+
+
+def _stripped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), X.unescape_common(X.strip_tags(F.col("html"))).alias("text"))
+
+
+@query(f"""WITH {_STRIPPED}, ln AS {_lines_sql("stripped", "page_id", "t")}
+  SELECT page_id, count(*) FILTER (line <> '') AS n_lines, CAST(sum({_LETTERS.format(x="line")}) AS BIGINT) AS n_letters,
+  count(*) FILTER (line <> '' AND NOT ({_LETTERS.format(x="line")} < 3 OR {_LETTERS.format(x="line")} < 0.5::DOUBLE * length(replace(line, ' ', '')))) AS n_kept FROM ln GROUP BY page_id""")
+def strip_markup_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagship: markup to lines of text, with what of them is not debris."""
+    rows, line = lines.split_lines(_stripped(spark, sf_dir)), F.col("line")
+    return rows.groupBy(F.col("doc_id").alias("page_id")).agg(F.count_if(line != "").alias("n_lines"), F.sum(X.letters(line)).alias("n_letters"), F.count_if((line != "") & ~lines.is_debris(line)).alias("n_kept"))
+
+
+@query(f"WITH {_STRIPPED} SELECT page_id, t AS text FROM stripped")
+def markup_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stripped(spark, sf_dir).withColumnRenamed("doc_id", "page_id")
+
+
+_FOLD_FROM, _FOLD_TO = "".join(X.FOLD), "".join(X.FOLD.values()).replace("'", "''")
+
+
+@query(f"""SELECT doc_id, lower(translate(text, '{_FOLD_FROM}', '{_FOLD_TO}')) AS folded FROM documents""")
+def fold_latin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", X.fold_latin(F.col("text")).alias("folded"))
+
+
+@query(f"""WITH t AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'ışık ' || substr(text, 1, 200) WHEN doc_id % 3 = 1 THEN 'ýþýk Ð ' || substr(text, 1, 200) ELSE 'ýş' || substr(text, 1, 200) END AS t FROM documents)
+  SELECT doc_id, CASE WHEN length(t) - length(replace(replace(t, 'ý', ''), 'þ', '')) > length(t) - length(replace(replace(t, 'ı', ''), 'ş', '')) THEN translate(t, '{"".join(X.CP1254)}', '{"".join(X.CP1254.values())}') ELSE t END AS repaired FROM t""")
+def codepage_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    head = F.substring("text", 1, 200)
+    k = F.col("doc_id") % 3
+    text = F.when(k == 0, F.concat(F.lit("ışık "), head)).when(k == 1, F.concat(F.lit("ýþýk Ð "), head)).otherwise(F.concat(F.lit("ýş"), head))
+    return table(spark, sf_dir, "documents").select("doc_id", X.fix_codepage(text).alias("repaired"))
+
+
+_DIRTY = "'Ä±Ã¼' || chr(173) || 'a' || chr(8203) || 'b' || chr(13) || chr(10) || 'c' || chr(12) || 'd' || chr(11) || 'e' || chr(9) || chr(7) || chr(13) || substr(text, 1, 300)"
+
+
+@query(f"""WITH d AS (SELECT doc_id, {_DIRTY} AS t FROM documents)
+  SELECT doc_id, regexp_replace(replace(replace(replace(replace(replace(replace(replace(t, 'Ä±', 'ı'), 'Ã¼', 'ü'), chr(173), ''), chr(8203), ''), chr(12), chr(10)), chr(13) || chr(10), chr(10)), chr(13), chr(10)), '[\\x00-\\x08\\x0b\\x0e-\\x1f\\x7f]', '', 'g') AS repaired FROM d""")
+def char_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dirty = F.concat(F.lit("Ä±Ã¼­a​b\r\nc\fd\x0be\t\x07\r"), F.substring("text", 1, 300))
+    return table(spark, sf_dir, "documents").select("doc_id", X.drop_control(X.unify_newlines(X.drop_invisible(X.fix_mojibake(dirty)))).alias("repaired"))
+
+
+@query("""SELECT doc_id, nfc_normalize(replace(replace(substr(text, 1, 400), 'é', 'e' || chr(769)), 'ñ', 'n' || chr(771))) AS nfc FROM documents""")
+def nfc_normal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    split = F.replace(F.replace(F.substring("text", 1, 400), F.lit("é"), F.lit("é")), F.lit("ñ"), F.lit("ñ"))
+    return table(spark, sf_dir, "documents").select("doc_id", X.nfc(split).alias("nfc"))
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+@query(f"""WITH ln AS {_lines_sql("documents", "doc_id", "text")} SELECT doc_id, pos, line FROM ln WHERE line <> '' AND ({_LETTERS.format(x="line")} < 3 OR {_LETTERS.format(x="line")} < 0.5::DOUBLE * length(replace(line, ' ', '')))""")
+def line_debris(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.split_lines(_documents(spark, sf_dir)).where(lines.is_debris(F.col("line"))).select("doc_id", F.col("pos").cast("long"), "line")
+
+
+_TERMINAL = X.TERMINAL.replace("'", "''")
+_HEADS = f"""k AS (SELECT *, lower(trim(regexp_replace(line, '[0-9]+', '', 'g'), ' .-–—|')) AS key FROM ln WHERE length(line) BETWEEN 1 AND 80),
+  heads AS (SELECT doc_id, key FROM k WHERE key <> '' AND NOT contains('{_TERMINAL}', right(key, 1)) AND regexp_matches(key, '[{X.LATIN}]') GROUP BY doc_id, key HAVING count(*) >= 5)"""
+
+
+@query(f"""WITH ln AS {_lines_sql("documents", "doc_id", "text")}, {_HEADS} SELECT doc_id, pos, line FROM k JOIN heads USING (doc_id, key)""")
+def running_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.with_heads(lines.split_lines(_documents(spark, sf_dir))).where("head").select("doc_id", F.col("pos").cast("long"), "line")
+
+
+_PAGE_LINES = "CASE o_orderkey % 8 WHEN 0 THEN '- ' || o_orderkey % 2000 || ' -' WHEN 1 THEN 'Page ' || o_orderkey WHEN 2 THEN 'xiv.' WHEN 3 THEN 's. ' || o_orderkey % 99 WHEN 4 THEN o_orderkey || ' items' WHEN 5 THEN 'SAYFA 12 —' WHEN 6 THEN 'vivid' ELSE '' || o_orderkey END"
+
+
+@query(f"""SELECT o_orderkey, l AS line, regexp_full_match(l, '(?i)[-–—.\\s]*(?:(?:sayfa|page|s\\.|p\\.)\\s*)?(?:[0-9]{{1,4}}|[ivxlc]{{1,6}})[-–—.\\s]*') AS page_number FROM (SELECT o_orderkey, {_PAGE_LINES} AS l FROM orders)""")
+def page_number_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    s = k.cast("string")
+    line = (
+        F.when(k % 8 == 0, F.concat(F.lit("- "), (k % 2000).cast("string"), F.lit(" -"))).when(k % 8 == 1, F.concat(F.lit("Page "), s)).when(k % 8 == 2, "xiv.").when(k % 8 == 3, F.concat(F.lit("s. "), (k % 99).cast("string")))
+        .when(k % 8 == 4, F.concat(s, F.lit(" items"))).when(k % 8 == 5, "SAYFA 12 —").when(k % 8 == 6, "vivid").otherwise(s)
+    )
+    return table(spark, sf_dir, "orders").select("o_orderkey", line.alias("line")).withColumn("page_number", lines.is_page_number(F.col("line")))
+
+
+#: Documents with blocks: every third line end is doubled, and some lines end in a hyphen before a lower-case line.
+_BLOCKS = """doc_blocks AS (SELECT doc_id, string_agg(CASE WHEN pos % 5 = 1 THEN l || '-' ELSE l END || CASE WHEN pos % 3 = 2 THEN chr(10) ELSE '' END, chr(10) ORDER BY pos) AS text
+  FROM (SELECT doc_id, unnest(list_transform(p, lambda x: x)) AS l, unnest(range(0, len(p))) AS pos FROM (SELECT doc_id, string_split(replace(text, '. ', chr(10)), chr(10)) AS p FROM documents WHERE length(text) > 0)) GROUP BY doc_id)"""
+
+
+def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).where("length(text) > 0")
+    parts = F.transform(F.split(F.replace("text", F.lit(". "), F.lit("\n")), "\n", -1), lambda x, i: F.concat(x, F.when(i % 5 == 1, "-").otherwise(""), F.when(i % 3 == 2, "\n").otherwise("")))
+    return docs.select("doc_id", F.array_join(parts, "\n").alias("text"))
+
+
+_KEPT = f"""ln AS {_lines_sql("doc_blocks", "doc_id", "text")}, {_HEADS},
+  kept AS (SELECT ln.* FROM ln LEFT JOIN (SELECT k.doc_id, k.pos FROM k JOIN heads USING (doc_id, key)) h USING (doc_id, pos) WHERE line = '' OR (h.pos IS NULL
+    AND NOT regexp_full_match(line, '(?i)[-–—.\\s]*(?:(?:sayfa|page|s\\.|p\\.)\\s*)?(?:[0-9]{{1,4}}|[ivxlc]{{1,6}})[-–—.\\s]*')
+    AND NOT ({_LETTERS.format(x="line")} < 3 OR {_LETTERS.format(x="line")} < 0.5::DOUBLE * length(replace(line, ' ', '')))))"""
+_PARAS = f"""{_BLOCKS}, {_KEPT}, med AS (SELECT doc_id, 0.6::DOUBLE * list_sort(list(length(line)))[len(list(line)) // 2 + 1] AS full_width FROM kept WHERE line <> '' GROUP BY doc_id),
+  b AS (SELECT *, sum((line = '')::INT) OVER (PARTITION BY doc_id ORDER BY pos) AS block FROM kept),
+  bl AS (SELECT doc_id, block, min(pos) AS pos, arg_min(line, pos) AS first_line, arg_max(line, pos) AS last_line FROM b WHERE line <> '' GROUP BY doc_id, block),
+  lg AS (SELECT *, lag(last_line) OVER (PARTITION BY doc_id ORDER BY block) AS prev FROM bl JOIN med USING (doc_id)),
+  st AS (SELECT *, sum(CASE WHEN prev IS NULL OR NOT (ends_with(prev, '-') OR regexp_matches(substr(first_line, 1, 1), '^[\\p{{Ll}}ªº]$') OR (length(prev) >= full_width AND NOT contains('{_TERMINAL}', right(prev, 1)))) THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY block) AS para FROM lg),
+  pl AS (SELECT b.doc_id, para, b.pos, line, lead(line) OVER (PARTITION BY b.doc_id, para ORDER BY b.pos) AS nxt FROM b JOIN st USING (doc_id, block) WHERE line <> ''),
+  paras AS (SELECT doc_id, para, string_agg(CASE WHEN nxt IS NULL THEN line WHEN regexp_matches(line, '\\p{{L}}-$') AND regexp_matches(substr(nxt, 1, 1), '^[\\p{{Ll}}ªº]$') THEN substr(line, 1, length(line) - 1) ELSE line || ' ' END, '' ORDER BY pos) AS text FROM pl GROUP BY doc_id, para)"""
+
+
+@query(f"WITH {_PARAS} SELECT doc_id, full_width FROM med")
+def median_width(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.drop_lines(lines.split_lines(_blocks(spark, sf_dir))).where("line <> ''")
+    widths = kept.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.length("line"))).alias("w"))
+    return widths.select("doc_id", (F.lit(lines.FULL_SHARE) * F.get("w", F.floor(F.size("w") / 2).cast("int"))).alias("full_width"))
+
+
+def _paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.paragraphs(lines.drop_lines(lines.split_lines(_blocks(spark, sf_dir))))
+
+
+@query(f"WITH {_PARAS} SELECT doc_id, CAST(para AS BIGINT) AS para, text FROM paras")
+def reflow_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _paragraphs(spark, sf_dir)
+
+
+_EDGE = "released under|example\\.com|the"
+
+
+@query(f"""WITH {_PARAS}, e AS (SELECT *, coalesce(sum(length(text)) OVER (PARTITION BY doc_id ORDER BY para ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(length(text)) OVER (PARTITION BY doc_id) AS total FROM paras)
+  SELECT doc_id, CAST(para AS BIGINT) AS para FROM e WHERE NOT ((before < 0.1::DOUBLE * total OR before > 0.97::DOUBLE * total) AND length(text) < 800 AND regexp_matches(text, '{_EDGE}'))""")
+def edge_boilerplate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.drop_boilerplate(_paragraphs(spark, sf_dir), _EDGE).select("doc_id", "para")
+
+
+@query("""SELECT doc_id, '<doc>' || chr(10) || '<metadata>' || chr(10) || '<title>Ta b' || doc_id || '</title>' || chr(10) || '<author>' || source || '</author>' || chr(10) || '<isbn>' || doc_id || '</isbn>' || chr(10) || '<language>' || 'xx' || '</language>' ||
+  CASE WHEN doc_id % 2 = 0 THEN chr(10) || '<license>open</license>' ELSE '' END || chr(10) || '</metadata>' || chr(10) || '<content>' || chr(10) || text || chr(10) || '</content>' || chr(10) || '</doc>' || chr(10) AS record FROM documents""")
+def doc_wrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("doc_id").cast("string")
+    extra = {"source": F.lit(""), "license": F.when(F.col("doc_id") % 2 == 0, "open")}
+    return table(spark, sf_dir, "documents").select("doc_id", records.wrap_record(F.col("text"), F.concat(F.lit(" T<a> b"), k), F.col("source"), k, "xx", extra).alias("record"))
+
+
+@query("""SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'i' || doc_id WHEN 1 THEN 'j' || doc_id END AS isbn, CASE doc_id % 3 WHEN 1 THEN 'cc' END AS license, text AS body FROM documents WHERE NOT contains(text, chr(10) || chr(10))""")
+def record_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("doc_id").cast("string")
+    wrapped = records.wrap_record(F.lit(""), F.lit("t"), F.lit("a"), F.concat(F.lit("i"), k), "xx")
+    whole = F.concat(F.substring_index(wrapped, "\n\n</content>", 1), F.col("text"), F.lit("</content>\n</doc>\n"))
+    whole = F.replace(whole, F.lit("<content>\n"), F.lit("<content>"))
+    plain = F.concat(F.lit("Title: t\nISBN: j"), k, F.lit("\nLicence: cc\n\n"), "text")
+    docs = table(spark, sf_dir, "documents").where(~F.contains("text", F.lit("\n\n")))
+    raw = F.when(F.col("doc_id") % 3 == 0, F.regexp_replace(whole, "<content>\n?", "<content>")).when(F.col("doc_id") % 3 == 1, plain).otherwise(F.col("text"))
+    return docs.select("doc_id", records.split_record(raw).alias("r")).select("doc_id", F.try_element_at("r.meta", F.lit("isbn")).alias("isbn"), F.try_element_at("r.meta", F.lit("license")).alias("license"), "r.body")
+
+
+@query("""WITH p AS (SELECT doc_id, source || '/' || doc_id // 3 AS path FROM documents) SELECT doc_id, path, CASE WHEN f <> doc_id THEN f END AS kept FROM (SELECT *, min(doc_id) OVER (PARTITION BY path) AS f FROM p)""")
+def one_copy_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat_ws("/", "source", F.floor(F.col("doc_id") / 3).cast("string")).alias("path"))
+    return records.one_copy(docs.withColumn("n", F.col("doc_id")), "path", "n", "doc_id").select("doc_id", "path", "kept")
+
+
+_LONG = r"""long_doc AS (SELECT lang, trim(regexp_replace(string_agg(text, ' ' ORDER BY doc_id), '\s+', ' ', 'g'), ' ') AS t FROM documents GROUP BY lang UNION ALL SELECT 'doc' || doc_id, trim(regexp_replace(text, '\s+', ' ', 'g'), ' ') FROM documents),
+  plan AS (SELECT lang AS doc_id, t, CASE WHEN length(t) <= 36000 THEN (length(t) + 1499) // 1500 ELSE 24 END AS n, CASE WHEN length(t) <= 36000 THEN 1500 ELSE (length(t) - 1500) // 23 END AS step FROM long_doc)"""
+
+
+@query(f"WITH {_LONG} SELECT doc_id, chunk, substr(t, chunk * step + 1, 1500) AS part FROM (SELECT *, unnest(range(0, n)) AS chunk FROM plan)")
+def lid_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    whole = docs.groupBy("lang").agg(F.array_join(F.array_sort(F.collect_list(F.struct("doc_id", "text"))).getField("text"), " ").alias("text")).select(F.col("lang").alias("doc_id"), "text")
+    single = docs.select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("doc_id"), "text")
+    return lid.chunks(whole.unionByName(single)).select("doc_id", F.col("chunk").cast("long"), "part")
+
+
+_VOTES = f"""v AS (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'tr' ELSE lang END AS lang, {_LETTERS.format(x="text")} AS n, 0.5 + (doc_id % 5) / 10.0 AS prob, text FROM documents),
+  two AS (SELECT doc_id, lang, n * prob::DOUBLE AS w FROM v WHERE n >= 100 UNION ALL SELECT doc_id, 'xx', n * 0.25::DOUBLE FROM v WHERE n >= 100), s AS (SELECT doc_id, lang, sum(w) AS w FROM two GROUP BY ALL),
+  shares AS (SELECT doc_id, lang, w / sum(w) OVER (PARTITION BY doc_id) AS share FROM s)"""
+
+
+def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("part"), F.when(F.col("doc_id") % 4 == 0, "tr").otherwise(F.col("lang")).alias("lang"), (F.lit(0.5) + (F.col("doc_id") % 5) / 10).alias("prob"))
+    return docs.unionByName(docs.withColumns({"lang": F.lit("xx"), "prob": F.lit(0.25)}))
+
+
+@query(f"WITH {_VOTES} SELECT doc_id, lang, round(share, 9) AS share FROM shares")
+def lid_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lid.vote(_labelled(spark, sf_dir)).select("doc_id", "lang", F.round("share", 9).alias("share"))
+
+
+@query(f"""WITH {_VOTES} SELECT d.doc_id, CASE WHEN coalesce(max(share) FILTER (shares.lang = 'en') >= 0.5, false) THEN 'keep' ELSE 'cull' END AS decision FROM documents d LEFT JOIN shares USING (doc_id) GROUP BY d.doc_id""")
+def lang_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lid.audit(docs, lid.vote(_labelled(spark, sf_dir)), "en").select("doc_id", "decision")
+
+
+@query("""SELECT doc_id FROM documents WHERE length(trim(text, ' ' || chr(10))) >= 500""")
+def min_length_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").where(F.length(F.btrim("text", F.lit(" \n"))) >= 500).select("doc_id")
+
+
+@query()
+def lid_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles from the corpus itself, then chunks, labels, vote and decision."""
+    docs = table(spark, sf_dir, "documents")
+    return lid.audit(docs, lid.vote(lid.label(lid.chunks(docs), lid.profiles(docs))), "en")
+
+
+@query()
+def clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.clean(_documents(spark, sf_dir))
+
+
+@query()
+def first_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _documents(spark, sf_dir).select("doc_id", X.first_clean(F.col("text")).alias("text"))
