@@ -33,7 +33,7 @@ from quillmill.llm.quality_classifier import held_out
 
 #: Largest number of labelled rows that are learned from.
 SAMPLE_ROWS = 12_000
-BEGINNINGS, SPACE = (4, 5, 6), 1 << 18
+BEGINNINGS, SPACE = (4, 5, 6), 1 << 40
 LEXICONS, LEXICON_TERMS, HITS, LONG_ENOUGH = 7, 4096, 1, 8
 PATTERNS, CLASSIFIER_TERMS = 3, 4096
 _UPPER = np.zeros(256, bool)
@@ -70,30 +70,40 @@ def patterns(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out
 
 
+def find(known: np.ndarray, terms: np.ndarray) -> np.ndarray:
+    """Place of each term among the sorted known ones, or -1."""
+    if not len(known):
+        return np.full(len(terms), -1)
+    at = np.minimum(np.searchsorted(known, terms), len(known) - 1)
+    return np.where(known[at] == terms, at, -1)
+
+
 @dataclass(frozen=True)
 class Voters:
-    """lexicon: for each hashed term the lexicon it belongs to, or -1."""
+    """Sorted terms and the lexicon that each belongs to."""
 
+    terms: np.ndarray
     lexicon: np.ndarray
 
     @classmethod
     def learn(cls, rows: list[np.ndarray], y: np.ndarray) -> Voters:
         """Deal the terms that mark label 1 out to lexicons, by strength."""
-        lexicon = np.full(SPACE, -1, np.int8)
-        if len(np.unique(y)) == 2:
-            have = [np.bincount(np.concatenate([r for r, t in zip(rows, y, strict=True) if t == c]), minlength=SPACE) for c in (0, 1)]
-            size = [(y == c).sum() for c in (0, 1)]
-            odds = np.log((have[1] + 0.2) / (size[1] + 0.4)) - np.log((have[0] + 0.2) / (size[0] + 0.4))
-            marks = np.flatnonzero((odds > 3) & (have[1] >= max(4, 0.015 * size[1])))
-            marks = marks[np.argsort(-(odds * have[1])[marks], kind="stable")][:LEXICON_TERMS]
-            lexicon[marks] = np.arange(len(marks)) % LEXICONS
-        return cls(lexicon)
+        known, at = np.unique(np.concatenate(rows), return_inverse=True)
+        label = np.repeat(y, [len(r) for r in rows])
+        have = [np.bincount(at[label == c], minlength=len(known)) for c in (0, 1)]
+        size = [(y == c).sum() for c in (0, 1)]
+        odds = np.log((have[1] + 0.2) / (size[1] + 0.4)) - np.log((have[0] + 0.2) / (size[0] + 0.4))
+        marks = np.flatnonzero((odds > 4.5) & (have[1] >= max(4, 0.015 * size[1])))
+        marks = marks[np.argsort(-(odds * have[1])[marks], kind="stable")][:LEXICON_TERMS]
+        lexicon = np.arange(len(marks)) % LEXICONS
+        order = np.argsort(marks)
+        return cls(known[marks[order]], lexicon[order])
 
     def votes(self, terms: np.ndarray, count: np.ndarray, off: np.ndarray) -> np.ndarray:
         doc = np.repeat(np.arange(len(off) - 1), np.diff(off))
-        own = self.lexicon[terms]
-        hit = own >= 0
-        hits = np.bincount(doc[hit] * LEXICONS + own[hit], count[hit], (len(off) - 1) * LEXICONS).reshape(-1, LEXICONS)
+        at = find(self.terms, terms)
+        hit = at >= 0
+        hits = np.bincount(doc[hit] * LEXICONS + self.lexicon[at[hit]], count[hit], (len(off) - 1) * LEXICONS).reshape(-1, LEXICONS)
         some = (np.diff(off) >= LONG_ENOUGH)[:, None]
         return np.where(hits >= HITS, 2, np.where((hits == 0) & some, 1, 0)).astype(np.int8)
 
@@ -143,30 +153,33 @@ class LabelModel:
 class Linear:
     """Logistic regression with weight decay on log counts of the hashed terms that tell the labels apart."""
 
-    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, prior: float, steps: int = 150, decay: float = 2e-4):
-        self.w, self.b = np.zeros(SPACE), np.log(prior / (1 - prior))
+    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, prior: float, steps: int = 400, decay: float = 3e-5):
+        self.terms, self.w, self.b = np.zeros(0, np.int64), np.zeros(0), np.log(prior / (1 - prior))
         if not len(rows) or np.ptp(target) < 0.1:
             return
         doc = np.repeat(np.arange(len(rows)), [len(t) for t, _ in rows])
-        term, x = np.concatenate([t for t, _ in rows]), np.log1p(np.concatenate([c for _, c in rows]))
-        share, n = target.mean(), np.bincount(term, minlength=SPACE)
-        z = (np.bincount(term, target[doc], SPACE) - n * share) / np.sqrt(np.maximum(n * share * (1 - share), 1))
+        known, term = np.unique(np.concatenate([t for t, _ in rows]), return_inverse=True)
+        x = np.log1p(np.concatenate([c for _, c in rows]))
+        share, n = target.mean(), np.bincount(term, minlength=len(known))
+        z = (np.bincount(term, target[doc], len(known)) - n * share) / np.sqrt(np.maximum(n * share * (1 - share), 1))
         chosen = np.flatnonzero((n >= 4) & (np.abs(z) > 4))
-        chosen = chosen[np.argsort(-np.abs(z[chosen]), kind="stable")][:CLASSIFIER_TERMS]
-        at = np.full(SPACE, -1)
-        at[chosen] = np.arange(len(chosen))
-        kept = at[term] >= 0
-        doc, term, x = doc[kept], at[term[kept]], x[kept]
+        chosen = np.sort(chosen[np.argsort(-np.abs(z[chosen]), kind="stable")][:CLASSIFIER_TERMS])
+        self.terms = known[chosen]
+        at = find(chosen, term)
+        kept = at >= 0
+        doc, term, x = doc[kept], at[kept], x[kept]
 
         def gradient(w: list[np.ndarray], _: np.ndarray) -> list[np.ndarray]:
             d = sigmoid(np.bincount(doc, w[0][term] * x, len(rows)) + w[1][0]) - target
             return [np.bincount(term, d[doc] * x, len(chosen)) / len(rows) + decay * w[0], np.array([d.mean()])]
 
         w, b = adam(gradient, [np.zeros(len(chosen)), np.array([self.b])], len(rows), steps, len(rows), 0.1)
-        self.w[chosen], self.b = w, float(b[0])
+        self.w, self.b = w, float(b[0])
 
     def score(self, terms: np.ndarray, count: np.ndarray, off: np.ndarray) -> np.ndarray:
-        sums = np.concatenate([[0.0], np.cumsum(self.w[terms] * np.log1p(count))])
+        at = find(self.terms, terms)
+        weight = np.where(at >= 0, self.w[at] if len(self.w) else 0.0, 0.0)
+        sums = np.concatenate([[0.0], np.cumsum(weight * np.log1p(count))])
         return sigmoid(sums[off[1:]] - sums[off[:-1]] + self.b)
 
 
@@ -188,13 +201,13 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text_
             for i, j, buf, off in _scan(batch.column(1)):
                 terms, count, first = term_counts(buf, off)
                 vote = patterns(buf, off)
-                rows = [(terms[a:b].astype(np.int32).tobytes(), np.minimum(count[a:b], 255).astype(np.uint8).tobytes()) for a, b in zip(first[:-1], first[1:], strict=True)]
+                rows = [(terms[a:b].tobytes(), np.minimum(count[a:b], 255).astype(np.uint8).tobytes()) for a, b in zip(first[:-1], first[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary()), pa.array([v.tobytes() for v in vote], pa.binary())], ["y", "terms", "count", "patterns"])
 
     chosen = text.join(F.broadcast(sample), "doc_id").select("y", "text").mapInArrow(extract, "y int, terms binary, count binary, patterns binary").limit(2 * sample_rows).toPandas()
     chosen = chosen.sort_values(["y", "terms"], kind="stable")  # the order of rows differs between runs
     y = chosen["y"].to_numpy(int)
-    rows = [(np.frombuffer(t, np.int32), np.frombuffer(c, np.uint8)) for t, c in zip(chosen["terms"], chosen["count"], strict=True)]
+    rows = [(np.frombuffer(t, np.int64), np.frombuffer(c, np.uint8)) for t, c in zip(chosen["terms"], chosen["count"], strict=True)]
     prior = float((y.sum() + 1) / (len(y) + 2))
     if len(np.unique(y)) < 2:
         return Linear([], np.zeros(0), prior)
