@@ -86,23 +86,16 @@ def base_figures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.withColumns({"base_failed": failed, "classes": classes})
 
 
-def references(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """lang, ref_classes, ref_words and ref_shares (with that of all other words last) of each language with enough words."""
+def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """lang, ref_words and ref_shares (with that of all other words last) of each language with enough words."""
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    text, chars = F.col("text"), F.length("text")
-    solid = F.length(without(text, BLANKS))
-    count = {
-        "lower": chars - F.length(without(text, _ASCII_LOWER)), "upper": chars - F.length(without(text, _ASCII_LOWER.upper())), "digit": chars - F.length(without(text, _DIGITS)),
-        "blank": chars - solid, "symbol": chars - F.length(without(text, SYMBOLS)), "chars": chars,
-    }
-    sums = rows.select("lang", *(v.cast("long").alias(k) for k, v in count.items())).groupBy("lang").agg(*(F.sum(k).alias(k) for k in count))
-    classes = sums.select("lang", F.array(*(F.col(k).cast("double") for k in CLASSES[:-1]), (F.col("chars") - F.col("lower") - F.col("upper") - F.col("digit") - F.col("blank") - F.col("symbol")).cast("double")).alias("ref_classes"))
-    counted = written(rows.select("lang", F.explode(words_of(text)).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n")), "words")  # read several times
+    counted = written(rows.select("lang", F.explode(words_of(F.col("text"))).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n")), "words")  # read several times
     total = counted.groupBy("lang").agg(F.sum("n").alias("total")).where(F.col("total") >= MIN_REFERENCE)
-    common = counted.join(F.broadcast(total), "lang").where(F.col("n") >= COMMON * F.col("total")) if total.count() <= BROADCAST_LANGUAGES else counted.join(total, "lang").where(F.col("n") >= COMMON * F.col("total"))
+    few = total.count() <= BROADCAST_LANGUAGES
+    common = counted.join(F.broadcast(total) if few else total, "lang").where(F.col("n") >= COMMON * F.col("total"))
     words = common.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("word", (F.col("n") / F.col("total")).alias("share")))).alias("w"))  # at most 1 / COMMON words each
     words = words.select("lang", F.col("w.word").alias("ref_words"), F.concat(F.col("w.share"), F.array(1 - F.aggregate("w", F.lit(0.0), lambda a, x: a + x.share))).alias("ref_shares"))
-    return total.select("lang").join(classes, "lang").join(words, "lang", "left").select("lang", "ref_classes", F.coalesce("ref_words", F.array().cast("array<string>")).alias("ref_words"), F.coalesce("ref_shares", F.array(F.lit(1.0))).alias("ref_shares"))
+    return total.select("lang").join(words, "lang", "left").select("lang", F.coalesce("ref_words", F.array().cast("array<string>")).alias("ref_words"), F.coalesce("ref_shares", F.array(F.lit(1.0))).alias("ref_shares"))
 
 
 def distance(p: Column, q: Column) -> Column:
@@ -137,15 +130,16 @@ def common_counts(words: Column, common: Column) -> Column:
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """doc_id, the base figures, base_failed, kept, and the two distances (null where not judged)."""
-    reference = written(references(docs, id_col, text_col, lang_col), "references")
+    reference = written(references(docs, text_col, lang_col), "references")
     few = reference.count() <= BROADCAST_LANGUAGES
-    rows = base_figures(docs, id_col, text_col, lang_col).join(F.broadcast(reference) if few else reference, "lang", "left")
+    small = F.broadcast if few else lambda df: df
+    rows = base_figures(docs, id_col, text_col, lang_col).join(small(reference), "lang", "left")
     judged = ~F.col("base_failed") & (F.col("n_words") >= MIN_WORDS) & F.col("ref_words").isNotNull()
-    rows = rows.withColumns(
-        {
-            "class_distance": F.when(judged, distance(F.col("classes"), F.col("ref_classes"))),
-            "word_distance": F.when(judged, distance(common_counts(F.col("words"), F.col("ref_words")), F.col("ref_shares"))),
-        }
-    )
+    far = F.when(judged, distance(common_counts(F.col("words"), F.col("ref_words")), F.col("ref_shares")))
+    figures = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    measured = written(rows.select("lang", *figures, "classes", far.alias("word_distance")), "figures")  # a row of numbers for each text
+    sums = measured.groupBy("lang").agg(F.array(*(F.sum(F.get("classes", F.lit(i))) for i in range(len(CLASSES)))).alias("ref_classes"))
+    rows = measured.join(small(sums.join(small(reference.select("lang")), "lang")), "lang", "left")
+    rows = rows.withColumn("class_distance", F.when(F.col("word_distance").isNotNull(), distance(F.col("classes"), F.col("ref_classes"))))
     far = F.coalesce((F.col("class_distance") > CLASS_LIMIT) | (F.col("word_distance") > WORD_LIMIT), F.lit(False))
-    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & ~far).alias("kept"), "class_distance", "word_distance")
+    return rows.select(*figures, (~F.col("base_failed") & ~far).alias("kept"), "class_distance", "word_distance")
