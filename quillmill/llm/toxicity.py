@@ -32,7 +32,7 @@ from quillmill.llm.linear import adam, sigmoid
 from quillmill.llm.quality_classifier import held_out
 
 #: Largest number of labelled rows that are learned from.
-SAMPLE_ROWS = 12_000
+SAMPLE_ROWS = 6_000
 BEGINNINGS, SPACE = (4, 5, 6), 1 << 40
 LEXICONS, LEXICON_TERMS, HITS, LONG_ENOUGH = 7, 4096, 1, 8
 PATTERNS, CLASSIFIER_TERMS = 3, 4096
@@ -89,7 +89,7 @@ class Voters:
     def learn(cls, rows: list[np.ndarray], y: np.ndarray) -> Voters:
         """Deal the terms that mark label 1 out to lexicons, by strength."""
         known, at = np.unique(np.concatenate(rows), return_inverse=True)
-        label = np.repeat(y, [len(r) for r in rows])
+        label = np.repeat(y.astype(np.int8), [len(r) for r in rows])
         have = [np.bincount(at[label == c], minlength=len(known)) for c in (0, 1)]
         size = [(y == c).sum() for c in (0, 1)]
         odds = np.log((have[1] + 0.2) / (size[1] + 0.4)) - np.log((have[0] + 0.2) / (size[0] + 0.4))
@@ -156,9 +156,9 @@ class Linear:
         self.terms, self.w, self.b = np.zeros(0, np.int64), np.zeros(0), np.log(prior / (1 - prior))
         if not len(rows) or np.ptp(target) < 0.1:
             return
-        doc = np.repeat(np.arange(len(rows)), [len(t) for t, _ in rows])
+        doc = np.repeat(np.arange(len(rows), dtype=np.int32), [len(t) for t, _ in rows])
         known, term = np.unique(np.concatenate([t for t, _ in rows]), return_inverse=True)
-        x = np.log1p(np.concatenate([c for _, c in rows]))
+        x = np.log1p(np.concatenate([c for _, c in rows]).astype(np.float32))
         share, n = target.mean(), np.bincount(term, minlength=len(known))
         z = (np.bincount(term, target[doc], len(known)) - n * share) / np.sqrt(np.maximum(n * share * (1 - share), 1))
         chosen = np.flatnonzero((n >= 4) & (np.abs(z) > 4))
