@@ -90,6 +90,20 @@ def shingles_sql(table: str, key: str) -> str:
 
 
 ORACLE = {
+    "op1_substring_dedup": f"""
+WITH d AS (SELECT doc_id, {_WORDS.format(text="coalesce(text, '')")} AS w FROM documents),
+     x AS (SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d)),
+     r AS (SELECT s FROM x GROUP BY s HAVING count(*) > 1),
+     c AS (SELECT DISTINCT doc_id, i + j AS pos FROM (SELECT doc_id, i FROM x SEMI JOIN r USING (s)), (SELECT unnest(range(0, 35)) AS j)),
+     v AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM d),
+     k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS kept, count(*) AS n FROM v ANTI JOIN c USING (doc_id, pos) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)""",
+    "op10_jaccard_join": f"""
+WITH RECURSIVE d AS ({shingles_sql("documents", "doc_id")}),
+     g AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM d),
+     p AS (SELECT a.doc_id AS x, b.doc_id AS y FROM g a JOIN g b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+     reach AS (SELECT x, y FROM p UNION SELECT reach.x, p.y FROM reach JOIN p ON reach.y = p.x)
+SELECT d.doc_id, len(s) AS n_shingles, least(d.doc_id, coalesce(min(y), d.doc_id)) AS component_id FROM d LEFT JOIN reach ON d.doc_id = x GROUP BY d.doc_id, s""",
     "op4_decontamination": f"""
 WITH d AS ({shingles_sql("documents", "doc_id")}), b AS ({shingles_sql("benchmark", "item_id")}),
      dx AS (SELECT doc_id, unnest(s) AS g FROM d), bx AS (SELECT item_id, len(s) AS n, unnest(s) AS g FROM b),
