@@ -102,6 +102,7 @@ def result_title(page: Column, link: str) -> Column:
     return F.when(first == "", "").otherwise(X.squash(X.unescape_common(F.regexp_replace(title, "<[^>]+>", " "))))
 
 
+# What marks a licence as open, and the answers in words below.
 LICENCE_OPEN = ("creativecommons.org", "publicdomain")
 
 

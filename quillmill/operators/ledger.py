@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quillmill.functions import textnorm as X
 
+# Statuses, their words and default details.
 SETTLED = ("completed", "culled", "no_open_copy")
 TRIP_AFTER = 3
 NO_COPY = "no open-access copy found"
