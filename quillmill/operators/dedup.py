@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmill.functions import ids as I
@@ -35,14 +35,14 @@ def mark_duplicates(catalog: DataFrame, isbn_col: str = "isbn13", title_col: str
     return rows.withColumns({"elim_category": category, "elim_reason": reason}).drop("__key", "__valid", "__keeper")
 
 
-def publisher_fallback(publisher: F.Column, inferred: F.Column) -> tuple[F.Column, F.Column]:
+def publisher_fallback(publisher: Column, inferred: Column) -> tuple[Column, Column]:
     """Publisher, else the one inferred from the prefix without its book counts; and where it is from."""
     bare = F.regexp_replace(F.coalesce(inferred, F.lit("")), r"\s*\(\d+ of \d+ known books?\)$", "")
     has = F.coalesce(publisher, F.lit("")) != ""
     return F.when(has, publisher).otherwise(bare), F.when(has, "record").when(bare != "", "isbn_prefix").otherwise("")
 
 
-#: Output column of the tidy table and its source column; four are computed.
+#: Output column of the tidy table and its source column; three are computed.
 TIDY = {
     "ISBN": "isbn13", "ISBN10": "isbn10", "Title": "title", "Subtitle": "subtitle", "Author": "authors", "Contributors": "contributors", "Genre": None, "Category": "broad_category",
     "Subjects": "subjects", "Publisher": None, "Publisher_Source": None, "Publish_Year": "publish_year", "Publish_Place": "publish_place", "Language": "language", "Pages": "pages",
@@ -55,7 +55,7 @@ def tidy(catalog: DataFrame, *carry: str) -> DataFrame:
     """The 27 output columns, and any columns to carry along."""
     publisher, source = publisher_fallback(F.col("publisher"), F.col("publisher_inferred_from_prefix"))
     made = {"Genre": X.join_nonempty(F.col("genres"), F.col("fiction_or_type")), "Publisher": publisher, "Publisher_Source": source}
-    return catalog.select(*(made.get(name, F.col(old) if old else None).alias(name) if name in made else F.col(old).alias(name) for name, old in TIDY.items()), *carry)
+    return catalog.select(*((made[name] if name in made else F.col(old)).alias(name) for name, old in TIDY.items()), *carry)
 
 
 def split_outputs(classified: DataFrame, bare: str = "no_metadata") -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -70,19 +70,7 @@ def drop_empty_columns(rows: DataFrame) -> DataFrame:
     return rows.select(*(f"`{c}`" for c in rows.columns if filled[c]))
 
 
-def insert_columns(rows: DataFrame, at: int, columns: dict[str, F.Column]) -> DataFrame:
+def insert_columns(rows: DataFrame, at: int, columns: dict[str, Column]) -> DataFrame:
     """New columns before the column at the given place."""
     names = rows.columns
     return rows.select(*(f"`{c}`" for c in names[:at]), *(v.alias(k) for k, v in columns.items()), *(f"`{c}`" for c in names[at:]))
-
-
-def drop_boilerplate_copies(rows: DataFrame, path_col: str, order_col: str) -> DataFrame:
-    """Marks rows whose output path an earlier row has: kept_as is that row's order, null for the first."""
-    first = rows.groupBy(path_col).agg(F.min(order_col).alias("__first"))
-    return rows.join(first, path_col).withColumn("kept_as", F.when(F.col("__first") != F.col(order_col), F.col("__first"))).drop("__first")
-
-
-def first_by(rows: DataFrame, keys: list[str], order: list[F.Column]) -> DataFrame:
-    """The first row of each key. For keys of a few rows each; a hot key is better served by min_by."""
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return rows.withColumn("__rank", rank).where("__rank = 1").drop("__rank")
