@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmill.functions import textnorm as X
 from quillmill.operators import lid, lines, records
-from quillmill.plans.base import query, table
+from quillmill.plans.base import ORACLE, query, table
 
 _TAG = r"</?[A-Za-z][A-Za-z0-9]*(?:\s[^<>]*)?/?>"
 _STRIPPED = rf"""stripped AS (SELECT page_id, replace(replace(replace(replace(replace(replace(replace(replace(replace(
@@ -52,28 +52,57 @@ def fold_latin(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH t AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'ışık ' || substr(text, 1, 200) WHEN doc_id % 3 = 1 THEN 'ýþýk Ð ' || substr(text, 1, 200) ELSE 'ýş' || substr(text, 1, 200) END AS t FROM documents)
   SELECT doc_id, CASE WHEN length(t) - length(replace(replace(t, 'ý', ''), 'þ', '')) > length(t) - length(replace(replace(t, 'ı', ''), 'ş', '')) THEN translate(t, '{"".join(X.CP1254)}', '{"".join(X.CP1254.values())}') ELSE t END AS repaired FROM t""")
 def codepage_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    head = F.substring("text", 1, 200)
+    """On heads of texts, as its SQL has it; codepage_repair_whole takes whole ones."""
+    return _codepage(spark, sf_dir, F.substring("text", 1, 200))
+
+
+def _codepage(spark: SparkSession, sf_dir: str, body: Column) -> DataFrame:
     k = F.col("doc_id") % 3
-    text = F.when(k == 0, F.concat(F.lit("ışık "), head)).when(k == 1, F.concat(F.lit("ýþýk Ð "), head)).otherwise(F.concat(F.lit("ýş"), head))
+    text = F.when(k == 0, F.concat(F.lit("ışık "), body)).when(k == 1, F.concat(F.lit("ýþýk Ð "), body)).otherwise(F.concat(F.lit("ýş"), body))
     return table(spark, sf_dir, "documents").select("doc_id", X.fix_codepage(text).alias("repaired"))
 
 
+@query(ORACLE["codepage_repair"].replace("substr(text, 1, 200)", "text"))
+def codepage_repair_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _codepage(spark, sf_dir, F.col("text"))
+
+
 _DIRTY = "'Ä±Ã¼' || chr(173) || 'a' || chr(8203) || 'b' || chr(13) || chr(10) || 'c' || chr(12) || 'd' || chr(11) || 'e' || chr(9) || chr(7) || chr(13) || substr(text, 1, 300)"
 
 
 @query(f"""WITH d AS (SELECT doc_id, {_DIRTY} AS t FROM documents)
   SELECT doc_id, regexp_replace(replace(replace(replace(replace(replace(replace(replace(t, 'Ä±', 'ı'), 'Ã¼', 'ü'), chr(173), ''), chr(8203), ''), chr(12), chr(10)), chr(13) || chr(10), chr(10)), chr(13), chr(10)), '[\\x00-\\x08\\x0b\\x0e-\\x1f\\x7f]', '', 'g') AS repaired FROM d""")
 def char_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dirty = F.concat(F.lit("Ä±Ã¼­a​b\r\nc\fd\x0be\t\x07\r"), F.substring("text", 1, 300))
+    """On heads of texts, as its SQL has it; char_repair_whole takes whole ones."""
+    return _characters(spark, sf_dir, F.substring("text", 1, 300))
+
+
+def _characters(spark: SparkSession, sf_dir: str, body: Column) -> DataFrame:
+    dirty = F.concat(F.lit("Ä±Ã¼­a​b\r\nc\fd\x0be\t\x07\r"), body)
     return table(spark, sf_dir, "documents").select("doc_id", X.drop_control(X.unify_newlines(X.drop_invisible(X.fix_mojibake(dirty)))).alias("repaired"))
 
 
+@query(ORACLE["char_repair"].replace("substr(text, 1, 300)", "text"))
+def char_repair_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _characters(spark, sf_dir, F.col("text"))
+
+
 @query("""SELECT doc_id, nfc_normalize(replace(replace(substr(text, 1, 400), 'é', 'e' || chr(769)), 'ñ', 'n' || chr(771))) AS nfc FROM documents""")
 def nfc_normal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    split = F.replace(F.replace(F.substring("text", 1, 400), F.lit("é"), F.lit("é")), F.lit("ñ"), F.lit("ñ"))
+    """On heads of texts, as its SQL has it; nfc_normal_whole takes whole ones."""
+    return _composed(spark, sf_dir, F.substring("text", 1, 400))
+
+
+def _composed(spark: SparkSession, sf_dir: str, body: Column) -> DataFrame:
+    split = F.replace(F.replace(body, F.lit("é"), F.lit("é")), F.lit("ñ"), F.lit("ñ"))
     return table(spark, sf_dir, "documents").select("doc_id", X.nfc(split).alias("nfc"))
 
 
+@query(ORACLE["nfc_normal"].replace("substr(text, 1, 400)", "text"))
+def nfc_normal_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _composed(spark, sf_dir, F.col("text"))
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
