@@ -19,3 +19,16 @@ def test_repairs_reach_the_end_of_a_text(spark, tmp_path):
     assert rows(spark, tmp_path, "char_repair_whole", "documents", docs)[0].repaired == "ıüab\nc\nde\t\n" + "x" * 1000 + "ü\nend"
     docs = {"doc_id": [1], "text": ["x" * 1000 + "é"]}
     assert rows(spark, tmp_path, "nfc_normal_whole", "documents", docs)[0].nfc == "x" * 1000 + "é"
+
+
+def test_every_order_is_indexed(spark, tmp_path):
+    got = rows(spark, tmp_path, "bulk_index_whole", "lineitem", {"l_orderkey": [1, 2, 3, 4, 4], "l_partkey": [7, 7, 8, 7, 9]})
+    assert {r.isbn[3:12]: r.ids for r in got} == {"000000007": "id1,id2,id4", "000000008": "id3", "000000009": "id4"}
+
+
+def test_tidy_rows_come_from_deduplication(spark, tmp_path):
+    keys = [1, 13, 17, 187]
+    part = {"p_partkey": keys, "p_name": [f"n{k}" for k in keys], "p_size": [1] * 4, "p_type": ["t"] * 4, "p_brand": ["b"] * 4}
+    got = rows(spark, tmp_path, "tidy_projection_kept", "part", part)
+    assert sorted(r.Title for r in got) == ["n1", "n13", "n187"]  # 17 has only a wrong digit, 187 a valid copy too
+    assert all(sum(int(c) * (1, 3)[i % 2] for i, c in enumerate(r.ISBN)) % 10 == 0 for r in got)
