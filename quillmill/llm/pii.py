@@ -10,7 +10,8 @@ values stay equal wherever they occur and different values of a kind stay differ
 - dates (yyyy-mm-dd, yyyy/mm/dd, dd.mm.yyyy, mm/dd/yyyy; real days of 1800 to 2199, a whole calendar cycle of
   146,097 = 189 * 773 days): the day's number within the cycle;
 - IPv4 addresses (four numbers to 255): the pair of halves;
-- mail addresses: letters and digits of the part before @, each within its class; long hexadecimal secrets likewise.
+- mail addresses: letters and digits of the part before @, each within its class; hexadecimal secrets (32
+  digits or more, in either case) likewise.
 
 What fails its validation is left as it is. Separators and groups stay in place.
 
@@ -27,7 +28,7 @@ ROUNDS = 8
 _MAIL = r"[\p{L}\p{N}._%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}"
 _PHONE = r"\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}(?![0-9])"
 _IBAN = r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
-_SECRET = r"[0-9a-f]{32,128}(?![0-9A-Za-z])"
+_SECRET = r"[0-9A-Fa-f]{32,}+(?![0-9A-Za-z])"
 _DATE = r"(?:\d{4}-\d\d-\d\d|\d{4}/\d\d/\d\d|\d\d\.\d\d\.\d{4}|\d\d/\d\d/\d{4})(?![0-9A-Za-z])"
 _SSN = r"\d{3}-\d\d-\d{4}(?![0-9\-])"
 _IP = r"\d{1,3}(?:\.\d{1,3}){3}(?![0-9]|\.[0-9])"
@@ -202,7 +203,7 @@ def pseudonym(value: Column, key: Column) -> Column:
     return (
         F.when(F.contains(value, F.lit("@")), mail(value, key))
         .when(value.startswith("+"), phone(value, key))
-        .when(value.rlike(f"^{_SECRET}$") & value.rlike("[a-f]"), characters(value, key, "secret", 6))
+        .when(value.rlike(f"^{_SECRET}$") & value.rlike("[A-Fa-f]"), characters(value, key, "secret", 6))
         .when(value.rlike("^[A-Z]"), iban(value, key))
         .when(value.rlike(f"^{_DATE}$"), date(value, key))
         .when(value.rlike(f"^{_SSN}$"), ssn(value, key))

@@ -3,6 +3,7 @@
 import pyarrow as pa
 import pyarrow.parquet as pq
 
+from quillmill.llm import pii
 from quillmill.plans import registry
 
 
@@ -32,3 +33,13 @@ def test_tidy_rows_come_from_deduplication(spark, tmp_path):
     got = rows(spark, tmp_path, "tidy_projection_kept", "part", part)
     assert sorted(r.Title for r in got) == ["n1", "n13", "n187"]  # 17 has only a wrong digit, 187 a valid copy too
     assert all(sum(int(c) * (1, 3)[i % 2] for i, c in enumerate(r.ISBN)) % 10 == 0 for r in got)
+
+
+def test_secrets_of_either_case_and_any_length(spark):
+    secrets = ["9233A8ECF7C5B09FE5949719B6B82BC439E9329B", "9233a8ecf7c5b09fe5949719b6b82bc439e9329b", "9233A8ecF7c5B09fE5949719b6b82BC439e9329B", "0a1B" * 60]
+    docs = spark.createDataFrame([(i, f'TOKEN = "{s}".') for i, s in enumerate(secrets)], "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.pseudonymise(docs, "key", count_col="n").collect()}
+    for i, s in enumerate(secrets):
+        new = got[i].text.removeprefix('TOKEN = "').removesuffix('".')
+        assert got[i].n == 1 and new != s and [c.isdigit() for c in new] == [c.isdigit() for c in s] and [c.isupper() for c in new] == [c.isupper() for c in s]
+        assert set(new.lower()) <= set("0123456789abcdef")
