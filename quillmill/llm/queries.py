@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quillmill.llm import decontaminate, jaccard_join, packing, pii, quality_classifier, quality_rules, substring_dedup, suffix_dedup, token_counts, toxicity
-from quillmill.llm.store import read_table
+from quillmill.llm.store import read_table, written
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +45,9 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(read_table(spark, sf_dir, "documents"))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    near = jaccard_join.jaccard_components(docs).groupBy("doc_id").agg(F.min("component_id").alias("cluster"))
+    return packing.pack(docs.join(written(near, "clusters"), "doc_id", "left"), cluster_col="cluster")
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 import pyarrow as pa
 import pyarrow.parquet as pq
 
-from quillmill.llm import pii
+from quillmill.llm import pii, queries
 from quillmill.plans import registry
 
 
@@ -43,3 +43,11 @@ def test_secrets_of_either_case_and_any_length(spark):
         new = got[i].text.removeprefix('TOKEN = "').removesuffix('".')
         assert got[i].n == 1 and new != s and [c.isdigit() for c in new] == [c.isdigit() for c in s] and [c.isupper() for c in new] == [c.isupper() for c in s]
         assert set(new.lower()) <= set("0123456789abcdef")
+
+
+def test_near_copies_share_no_bin(spark, tmp_path):
+    words = [f"w{i}" for i in range(40)]
+    docs = {"doc_id": [1, 2, 3, 4], "text": [" ".join(words), " ".join([*words[:-1], "other"]), " ".join(words).upper(), "quite another text"], "source": ["a", "b", "c", "d"]}
+    pq.write_table(pa.table(docs), f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.bin_id for r in queries.op8_packing(spark, str(tmp_path)).collect()}
+    assert len({got[1], got[2], got[3]}) == 3 and got[4] in (got[1], got[2], got[3])
