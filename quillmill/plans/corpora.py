@@ -195,16 +195,25 @@ def doc_wrap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'i' || doc_id WHEN 1 THEN 'j' || doc_id END AS isbn, CASE doc_id % 3 WHEN 1 THEN 'cc' END AS license, text AS body FROM documents WHERE NOT contains(text, chr(10) || chr(10))""")
 def record_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """On texts without a blank line, as its SQL has it; record_split_whole takes all."""
+    return _split(table(spark, sf_dir, "documents").where(~F.contains("text", F.lit("\n\n"))))
+
+
+def _split(docs: DataFrame) -> DataFrame:
     k = F.col("doc_id").cast("string")
     wrapped = records.wrap_record(F.lit(""), F.lit("t"), F.lit("a"), F.concat(F.lit("i"), k), "xx")
     whole = F.concat(F.substring_index(wrapped, "\n\n</content>", 1), F.col("text"), F.lit("</content>\n</doc>\n"))
     whole = F.replace(whole, F.lit("<content>\n"), F.lit("<content>"))
     plain = F.concat(F.lit("Title: t\nISBN: j"), k, F.lit("\nLicence: cc\n\n"), "text")
-    docs = table(spark, sf_dir, "documents").where(~F.contains("text", F.lit("\n\n")))
     raw = F.when(F.col("doc_id") % 3 == 0, F.regexp_replace(whole, "<content>\n?", "<content>")).when(F.col("doc_id") % 3 == 1, plain).otherwise(F.col("text"))
     return docs.select("doc_id", records.split_record(raw).alias("r")).select("doc_id", F.try_element_at("r.meta", F.lit("isbn")).alias("isbn"), F.try_element_at("r.meta", F.lit("license")).alias("license"), "r.body")
 
 
+@query("""SELECT doc_id, CASE WHEN text IS NULL THEN NULL WHEN doc_id % 3 = 0 THEN 'i' || doc_id WHEN doc_id % 3 = 1 THEN 'j' || doc_id END AS isbn, CASE WHEN text IS NOT NULL AND doc_id % 3 = 1 THEN 'cc' END AS license, text AS body FROM documents""")
+def record_split_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _split(table(spark, sf_dir, "documents"))
+
+
 @query("""WITH p AS (SELECT doc_id, source || '/' || doc_id // 3 AS path FROM documents) SELECT doc_id, path, CASE WHEN f <> doc_id THEN f END AS kept FROM (SELECT *, min(doc_id) OVER (PARTITION BY path) AS f FROM p)""")
 def one_copy_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.concat_ws("/", "source", F.floor(F.col("doc_id") / 3).cast("string")).alias("path"))

@@ -51,3 +51,10 @@ def test_near_copies_share_no_bin(spark, tmp_path):
     pq.write_table(pa.table(docs), f"{tmp_path}/documents.parquet")
     got = {r.doc_id: r.bin_id for r in queries.op8_packing(spark, str(tmp_path)).collect()}
     assert len({got[1], got[2], got[3]}) == 3 and got[4] in (got[1], got[2], got[3])
+
+
+def test_records_with_blank_lines_and_without_text_are_split(spark, tmp_path):
+    texts = ["one\n\ntwo", "one\n\ntwo\n\nthree", "\n\none", None]
+    docs = {"doc_id": [3, 4, 5, 6], "text": texts}
+    got = {r.doc_id: (r.isbn, r.license, r.body) for r in rows(spark, tmp_path, "record_split_whole", "documents", docs)}
+    assert got == {3: ("i3", None, texts[0]), 4: ("j4", "cc", texts[1]), 5: (None, None, texts[2]), 6: (None, None, None)}
