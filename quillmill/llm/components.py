@@ -11,6 +11,8 @@ from quillmill.llm.store import written
 def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     """(node, root) for each node of the edges (a, b), where root is the least node that it can reach and not itself.
 
+    A graph that has not settled when the rounds run out is an error, since its components would be split.
+
     Each step keeps one row for an edge and combines before it shuffles; a hub's rows are spread by skew-join handling.
     """
     a, b = F.col("a"), F.col("b")
@@ -27,4 +29,6 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
         small = large.groupBy("a").agg(F.min("b").alias("m"))
         moved = large.join(small, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = written(moved.unionByName(small.select("a", F.col("m").alias("b"))).distinct(), "edges")
+    else:
+        raise RuntimeError(f"components have not settled in {rounds} rounds")
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -2,8 +2,9 @@
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 
-from quillmill.llm import pii, queries
+from quillmill.llm import components, pii, queries
 from quillmill.plans import registry
 
 
@@ -58,3 +59,10 @@ def test_records_with_blank_lines_and_without_text_are_split(spark, tmp_path):
     docs = {"doc_id": [3, 4, 5, 6], "text": texts}
     got = {r.doc_id: (r.isbn, r.license, r.body) for r in rows(spark, tmp_path, "record_split_whole", "documents", docs)}
     assert got == {3: ("i3", None, texts[0]), 4: ("j4", "cc", texts[1]), 5: (None, None, texts[2]), 6: (None, None, None)}
+
+
+def test_components_that_have_not_settled_are_an_error(spark):
+    path = spark.createDataFrame([(i, i + 1) for i in range(64)], "a long, b long")
+    with pytest.raises(RuntimeError, match="not settled"):
+        components.components(path, rounds=1)
+    assert {(r.node, r.root) for r in components.components(path).collect()} == {(i, 0) for i in range(1, 65)}
