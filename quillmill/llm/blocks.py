@@ -15,15 +15,17 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmill.llm import text as T
-from quillmill.llm.store import written
+from quillmill.llm.store import tidy, written
 
 CHUNK_BYTES, BLOCK_BYTES = 1 << 20, 8 << 20
-#: Hash buckets for each shuffle partition.
-BUCKETS_EACH = 4
+#: Hash buckets for each shuffle partition at least, and bytes of text for each bucket at most.
+BUCKETS_EACH, BUCKET_BYTES = 4, 64 << 20
+#: Bits of a hash that are kept beside its bucket.
+KEPT_BITS = 40
 
 
 def squeeze(*arrays: np.ndarray) -> bytes:
@@ -43,16 +45,31 @@ def expand(value: bytes, *kinds: type) -> list[np.ndarray]:
     return out
 
 
-def buckets(spark: SparkSession) -> int:
-    return max(16, BUCKETS_EACH * int(spark.conf.get("spark.sql.shuffle.partitions")))
+def pack_sorted(values: np.ndarray) -> np.ndarray:
+    """Ascending values of KEPT_BITS as byte planes of their differences, which compress."""
+    steps = np.diff(values, prepend=T.U64(0))
+    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T[: KEPT_BITS // 8]).ravel()
+
+
+def unpack_sorted(planes: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(planes) * 8 // KEPT_BITS, 8), np.uint8)
+    out[:, : KEPT_BITS // 8] = planes.reshape(KEPT_BITS // 8, -1).T
+    return np.cumsum(out.view(T.U64).ravel(), dtype=T.U64)
+
+
+def buckets(table: DataFrame) -> int:
+    """Hash buckets for a packed table: each is one group of a later pass, so their number follows the bytes."""
+    spark = table.sparkSession
+    with tidy(spark):
+        size = table.agg(F.sum("size").alias("s")).first().s or 0
+    return min(1 << 23, max(16, BUCKETS_EACH * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES)))
 
 
 def packed(docs: DataFrame, id_col: str, text_col: str, shape: Callable | None = None) -> DataFrame:
-    """Table (block long, chunk int, ids binary, texts binary): ids as an Arrow stream, texts as offsets and UTF-8 bytes.
+    """Table (block long, chunk int, size long, ids binary, texts binary): ids as an Arrow stream, texts as offsets and UTF-8 bytes.
 
     shape(buf, off) may replace the texts' bytes, such as by their words.
     """
-    id_type = docs.schema[id_col].dataType
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, block, chunk, size = TaskContext.get().partitionId(), 0, 0, 0
@@ -70,14 +87,13 @@ def packed(docs: DataFrame, id_col: str, text_col: str, shape: Callable | None =
                 with pa.ipc.new_stream(sink, ids.schema) as out:
                     out.write_batch(ids)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([(part << 24) + block], pa.int64()), pa.array([chunk], pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary()), pa.array([squeeze(first, own)], pa.binary())],
-                    ["block", "chunk", "ids", "texts"],
+                    [pa.array([(part << 24) + block], pa.int64()), pa.array([chunk], pa.int32()), pa.array([len(own)], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary()), pa.array([squeeze(first, own)], pa.binary())],
+                    ["block", "chunk", "size", "ids", "texts"],
                 )
                 chunk += 1
 
-    del id_type
     rows = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string"))
-    return written(rows.mapInArrow(pack, "block long, chunk int, ids binary, texts binary"), "packed")
+    return written(rows.mapInArrow(pack, "block long, chunk int, size long, ids binary, texts binary"), "packed")
 
 
 def ids_of(value: bytes) -> pa.Array:
@@ -90,21 +106,26 @@ def pieces(off: np.ndarray, buf: np.ndarray, limit: int = 1 << 18) -> Iterator[t
         yield i, buf[off[i] : off[j]], off[i : j + 1] - off[i]
 
 
-def by_bucket(hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order that sorts rows by bucket and the first row of each bucket."""
-    bucket = (hashes >> T.U64(20)) % T.U64(n)
-    order = np.argsort(bucket.astype(np.int32), kind="stable")
-    return order, np.searchsorted(bucket[order], np.arange(n + 1, dtype=np.uint64))
+def bucket_keys(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Bucket in the upper bits, and the KEPT_BITS lower bits of the hash: what the exchange knows a hash by."""
+    bits, low = T.U64(KEPT_BITS), T.U64((1 << KEPT_BITS) - 1)
+    return ((hashes >> bits) % T.U64(n)) << bits | (hashes & low)
+
+
+def by_bucket(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order that sorts bucket keys and the first row of each bucket."""
+    order = np.argsort(keys)
+    return order, np.searchsorted(keys[order], np.arange(n + 1, dtype=T.U64) << T.U64(KEPT_BITS))
 
 
 class Gatherer:
-    """Collects columns of rows over a task and gives them out by bucket, before they outgrow the task's memory."""
+    """Collects columns of rows over a task and gives them out by bucket in order of their keys, before they outgrow the task's memory."""
 
     def __init__(self, n: int, limit: int = 1 << 21):
         self.n, self.limit, self.have, self.size = n, limit, [], 0
 
     def add(self, *columns: np.ndarray) -> Iterator[tuple[int, tuple[np.ndarray, ...]]]:
-        """The first column holds the hashes that are dealt out."""
+        """The first column holds the bucket keys by which rows are dealt out."""
         self.have.append(columns)
         self.size += len(columns[0])
         if self.size >= self.limit:

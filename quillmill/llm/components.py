@@ -5,30 +5,55 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.store import written
+from quillmill.llm.store import delete, renamed, tidy, written
 
+#: A key with more rows than this is a hub, unless that would make more than HUBS of them.
+HUB_ROWS, HUBS = 256, 1 << 16
 
-def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
+
+def hub_rows(total: int) -> int:
+    """Rows from which a key counts as a hub: of total rows no more than HUBS keys have more than that."""
+    return max(HUB_ROWS, -(-total // HUBS))
+
+
+def join_hubs(rows: DataFrame, values: DataFrame, key: str, total: int, how: str = "inner") -> DataFrame:
+    """rows with the columns of values, which has one row for each key and in n the number of the key's rows.
+
+    A plain join would put all rows of a hub into one task. Hubs are few (hub_rows) and broadcast, so that only the
+    rows of other keys are shuffled.
+    """
+    hub = F.col("n") > hub_rows(total)
+    hubs = F.broadcast(values.where(hub).drop("n"))
+    return rows.join(hubs, key).unionByName(rows.join(hubs.select(key), key, "left_anti").join(values.where(~hub).drop("n"), key, how))
+
+
+def _beside_least(rows: DataFrame, total: int) -> DataFrame:
+    """rows (a, b) with m, the least of a and all its b."""
+    return join_hubs(rows, rows.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count("*").alias("n")), "a", total)
+
+
+def components(edges: DataFrame, *done: DataFrame, rounds: int = 100) -> DataFrame:
     """(node, root) for each node of the edges (a, b), where root is the least node that it can reach and not itself.
 
     A graph that has not settled when the rounds run out is an error, since its components would be split.
-
-    Each step keeps one row for an edge and combines before it shuffles; a hub's rows are spread by skew-join handling.
+    done: written tables that only the edges read; they are deleted.
     """
     a, b = F.col("a"), F.col("b")
-    now = written(edges.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct(), "edges")
+    now = written(edges.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct(), "edges", *done)
     mark = None
     for _ in range(rounds):
-        found = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
+        with tidy(now.sparkSession):
+            found = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
         if not found.n or (found.n, found.s) == mark:
             break
         mark = (found.n, found.s)
         both = now.unionByName(now.select(b.alias("a"), a.alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(least, "a").where(b > a).select(b.alias("a"), F.col("m").alias("b")).where("a != b").distinct()
-        small = large.groupBy("a").agg(F.min("b").alias("m"))
-        moved = large.join(small, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = written(moved.unionByName(small.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        large = _beside_least(both, 2 * found.n).where(b > a).select(b.alias("a"), F.col("m").alias("b")).distinct()
+        large = written(large, "edges", now)
+        near = _beside_least(large, 2 * found.n)  # m is a neighbour here: every a is larger than its b
+        moved = near.select(F.when(b == F.col("m"), a).otherwise(b).alias("a"), F.col("m").alias("b"))
+        now = written(moved.distinct(), "edges", large)
     else:
+        delete(now)
         raise RuntimeError(f"components have not settled in {rounds} rounds")
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    return renamed(now, "node", "root")

@@ -7,15 +7,21 @@ of fewer words is one shingle). No link is lost, and no group is expanded into a
    n - ceil(3n/4) + l of each in a common order (by hash; l = 15 in 100 of n) they share l. Sets that do not share
    so many of these with any others are out; passages that many documents share do not keep a set in.
 2. For the rest, these shingles are put in order of frequency, rarest first, and only as many kept as linked sets
-   must share one of. Sets that share such a shingle fall in one block (connected components).
-3. A block is searched in cells of at most about CELL sets. A cell's inverted index is searched for T-occurrence:
-   with DivideSkip the short lists are heap-merged and the few long ones probed by binary search, so that the sets
-   that reach the overlap are found with their exact overlap. Sets found linked leave the index: copies by the
-   thousand cost one search.
-4. A block of many cells has a few leaders in each cell. What the leaders leave apart from the block's largest
-   component is searched against all cells of the block.
-
-Hashes have 64 bits. Edge cases: null and empty texts have no shingles and link with nothing; equal texts always link;
+   must share one of: the rare shingles. Sets that share one fall in one block (connected components).
+3. A block is searched in cells of about CELL sets. A cell's inverted index is searched for T-occurrence: with
+   DivideSkip the short lists are heap-merged and the few long ones probed by binary search, so that the sets that
+   reach the overlap are found with their exact overlap. Sets found linked leave the index: copies by the thousand
+   cost one search.
+4. Blocks of many cells have a few leaders in each cell; what these join is one group. Two sets of different groups and
+   cells can only link through a rare shingle that both hold, so a set is searched against the cells that hold one of
+   its rare shingles in another group, and of the groups that hold a shingle the largest does not search. How many sets
+   that ships follows from how often rare shingles occur, not from the size of a block.
+
+Where documents of a cell share nearly all of their shingles' number and still do not link, by the thousand, the last
+step ships each of them to each such cell: rows grow with the square of their number over CELL.
+
+Hashes have 64 bits; those by which the exchange counts shingles have KEPT_BITS beside their bucket, where two that meet
+only make candidates. Edge cases: null and empty texts have no shingles and link with nothing; equal texts always link;
 rows that repeat an id are further documents with that id; other columns are ignored; an empty table gives no rows.
 """
 
@@ -30,16 +36,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from quillmill.llm import blocks as B
 from quillmill.llm import text as T
-from quillmill.llm.components import components
-from quillmill.llm.store import written
+from quillmill.llm.components import components, join_hubs
+from quillmill.llm.store import delete, tidy, written
 from quillmill.llm.substring_dedup import only_words
 
 CELL, LEADERS = 256, 8
+#: Most queries that a cell takes in one group.
+QUERIES = 4096
 #: DivideSkip's weight of the logarithm of the longest list.
 MU = 0.0085
+LOW = T.U64((1 << B.KEPT_BITS) - 1)
 
 
 def least_overlap(n: np.ndarray | int) -> np.ndarray | int:
@@ -58,13 +68,18 @@ class NodeSets:
         values, first = T.shingle_sets(buf, off, k)
         self.of_text, self.n_of_text = T.set_ids(values, first), np.diff(first)
         self.ids, lead = np.unique(self.of_text, return_index=True)
-        keep = self.ids != 0
-        self.ids, lead = self.ids[keep], lead[keep]
-        self.sets = [values[first[i] : first[i + 1]] for i in lead]
+        self.ids, lead = self.ids[self.ids != 0], lead[self.ids != 0]
+        self.values, self.start, self.n = values, first[lead], self.n_of_text[lead]
 
-    def prefixes(self) -> list[np.ndarray]:
-        """The first shingles, by hash, of each set."""
-        return [s[: len(s) - least_overlap(len(s)) + max(1, 15 * len(s) // 100)] for s in self.sets]
+    def set(self, i: int) -> np.ndarray:
+        return self.values[self.start[i] : self.start[i] + self.n[i]]
+
+    def prefixes(self, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+        """Bucket keys of the first shingles, by hash, of all sets in turn, and where each set's start."""
+        size = self.n - least_overlap(self.n) + np.maximum(1, 15 * self.n // 100)
+        first = np.concatenate([[0], np.cumsum(size)])
+        at = np.arange(first[-1]) + np.repeat(self.start - first[:-1], size)
+        return B.bucket_keys(self.values[at], buckets), first
 
 
 def _chunks(batch_or_table: pa.RecordBatch | pa.Table, k: int) -> Iterator[tuple[int, pa.Array, NodeSets]]:
@@ -76,37 +91,39 @@ def _chunks(batch_or_table: pa.RecordBatch | pa.Table, k: int) -> Iterator[tuple
 
 
 def _frequencies(table: DataFrame, k: int, n: int) -> DataFrame:
-    """(block, blob of the shared prefix shingles of its sets and their numbers of sets)."""
+    """(block, blob of the keys of the shared prefix shingles of its sets and their numbers of sets)."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = B.Gatherer(n)
 
         def rows(parts: Iterator) -> Iterator[pa.RecordBatch]:
-            for bucket, (token, block, times) in parts:
-                yield B.binary_batch(["bucket", "data"], [(bucket, B.squeeze(token, block, times))])
+            for bucket, (key, block, times) in parts:
+                yield B.binary_batch(["bucket", "data"], [(bucket, B.squeeze(B.pack_sorted(key & LOW), block, times))])
 
         for batch in batches:
             for block, _, nodes in _chunks(batch, k):
-                prefixes = nodes.prefixes()
-                if prefixes:
-                    token, times = np.unique(np.concatenate(prefixes), return_counts=True)
-                    yield from rows(out.add(token, np.full(len(token), block), times.astype(np.int32)))
+                if len(nodes.ids):
+                    key, times = np.unique(nodes.prefixes(n)[0], return_counts=True)
+                    yield from rows(out.add(key, np.full(len(key), block), times.astype(np.int32)))
         yield from rows(out.flush())
 
     def count(group: pa.Table) -> pa.Table:
-        token, block, times = (np.concatenate(c) for c in zip(*(B.expand(x.as_py(), T.U64, np.int64, np.int32) for x in group["data"]), strict=True))
-        order = np.lexsort((block, token))
-        token, block, times = token[order], block[order], times[order]
-        lead = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-        total = np.repeat(np.add.reduceat(times.astype(np.int64), lead), np.diff(np.append(lead, len(token))))
-        fresh = np.ones(len(token), bool)
-        fresh[1:] = (token[1:] != token[:-1]) | (block[1:] != block[:-1])
-        keep = fresh & (total > 1)
-        token, block, total = token[keep], block[keep], total[keep]
-        order = np.argsort(block, kind="stable")
-        token, block, total = token[order], block[order], total[order]
+        parts = [B.expand(x.as_py(), np.uint8, np.int64, np.int32) for x in group["data"]]
+        key, block, times = np.concatenate([B.unpack_sorted(p[0]) for p in parts]), np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])
+        order = np.argsort(key)
+        key, block, times = key[order], block[order], times[order]
+        lead = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        total = np.repeat(np.add.reduceat(times.astype(np.int64), lead), np.diff(np.append(lead, len(key))))
+        shared = total > 1
+        key, block, total = key[shared], block[shared], total[shared]
+        order = np.lexsort((key, block))
+        key, block, total = key[order], block[order], total[order]
+        fresh = np.ones(len(key), bool)
+        fresh[1:] = (key[1:] != key[:-1]) | (block[1:] != block[:-1])
+        key, block, total = key[fresh], block[fresh], np.minimum(total[fresh], 2**31 - 1).astype(np.int32)
         edges = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]])) if len(block) else np.zeros(1, int)
-        rows = [(int(block[i]), B.squeeze(token[i:j], total[i:j].astype(np.int32))) for i, j in zip(edges[:-1], edges[1:], strict=True)]
+        bucket = np.full(1, group["bucket"][0].as_py(), T.U64)
+        rows = [(int(block[i]), B.squeeze(bucket, B.pack_sorted(key[i:j]), total[i:j])) for i, j in zip(edges[:-1], edges[1:], strict=True)]
         return pa.Table.from_batches([B.binary_batch(["block", "data"], rows)])
 
     gathered = table.select("block", "ids", "texts").mapInArrow(gather, "bucket long, data binary")
@@ -120,9 +137,9 @@ def _candidates(k: int, n: int, id_type: pa.DataType):
     """
 
     def candidates(left: pa.Table, right: pa.Table) -> pa.Table:
-        parts = [B.expand(x.as_py(), T.U64, np.int32) for x in right["data"]]
-        shared = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, T.U64)
-        number = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.int32)
+        parts = [B.expand(x.as_py(), T.U64, np.uint8, np.int32) for x in right["data"]]
+        shared = np.concatenate([B.unpack_sorted(p[1]) | (p[0] << T.U64(B.KEPT_BITS)) for p in parts]) if parts else np.zeros(0, T.U64)
+        number = np.concatenate([p[2] for p in parts]) if parts else np.zeros(0, np.int32)
         order = np.argsort(shared)
         shared, number = shared[order], number[order]
         kind, key, docs, size, data, seen = [], [], [], [], [], set()
@@ -133,41 +150,52 @@ def _candidates(k: int, n: int, id_type: pa.DataType):
             docs += ids.to_pylist()
             size += nodes.n_of_text.tolist()
             data += [None] * len(ids)
-            for node, own, prefix in zip(nodes.ids.tolist(), nodes.sets, nodes.prefixes(), strict=True):
-                if not len(shared) or node in seen:
-                    continue
-                at = np.minimum(np.searchsorted(shared, prefix), len(shared) - 1)
-                hit = shared[at] == prefix
-                need = max(1, 1125 * len(own) // 10000)
-                if hit.sum() < need:
+            if not len(shared) or not len(nodes.ids):
+                continue
+            prefix, first = nodes.prefixes(n)
+            at = np.minimum(np.searchsorted(shared, prefix), len(shared) - 1)
+            hit = shared[at] == prefix
+            need = np.maximum(1, 1125 * nodes.n // 10000)
+            some = np.add.reduceat(hit, first[:-1], dtype=np.int64) >= need
+            for i in np.flatnonzero(some).tolist():
+                node = int(nodes.ids[i])
+                if node in seen:
                     continue
                 seen.add(node)
-                often = np.where(hit, number[at], 1)
-                rare = np.lexsort((prefix, often))[: len(prefix) - need + 1]
-                rare = rare[hit[rare]]
+                own, own_hit = prefix[first[i] : first[i + 1]], hit[first[i] : first[i + 1]]
+                often = np.where(own_hit, number[at[first[i] : first[i + 1]]], 1)
+                rare = np.lexsort((own, often))[: len(own) - need[i] + 1]
+                rare = rare[own_hit[rare]]
                 if len(rare):
                     kind.append(1)
                     key.append(node)
                     docs.append(None)
-                    size.append(len(own))
-                    data.append(own.tobytes())
-                    list(out.add(prefix[rare], np.full(len(rare), node)))
-        for bucket, columns in out.flush():
+                    size.append(int(nodes.n[i]))
+                    data.append(nodes.set(i).tobytes())
+                    list(out.add(own[rare], np.full(len(rare), node)))
+        for bucket, (token, node) in out.flush():
             kind.append(0)
             key.append(bucket)
             docs.append(None)
             size.append(0)
-            data.append(B.squeeze(*columns))
+            data.append(B.squeeze(B.pack_sorted(token & LOW), node))
         return pa.table([pa.array(kind, pa.int32()), pa.array(key, pa.int64()), pa.array(docs, id_type), pa.array(size, pa.int64()), pa.array(data, pa.binary())], ["kind", "key", "doc_id", "n", "data"])
 
     return candidates
 
 
+def _holders(value: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Rare shingles and the sets that hold them, from a row of kind 0."""
+    token, node = B.expand(value, np.uint8, np.int64)
+    return B.unpack_sorted(token), node
+
+
 def _join_sets(group: pa.Table) -> pa.Table:
     """Edges (a, b) that join the sets of a bucket that share a rare shingle, one for each set at most."""
-    token, node = (np.concatenate(c) for c in zip(*(B.expand(x.as_py(), T.U64, np.int64) for x in group["data"]), strict=True))
+    token, node = (np.concatenate(c) for c in zip(*(_holders(x.as_py()) for x in group["data"]), strict=True))
     order = np.lexsort((node, token))
     token, node = token[order], node[order]
+    same = np.flatnonzero(token[1:] == token[:-1])
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -178,57 +206,57 @@ def _join_sets(group: pa.Table) -> pa.Table:
             root[x], x = top, root.get(x, top)
         return top
 
-    last = None
-    for t, x in zip(token.tolist(), node.tolist(), strict=True):
-        if last is not None and last[0] == t:
-            a, b = find(last[1]), find(x)
-            if a != b:
-                root[max(a, b)] = min(a, b)
-        else:
-            last = (t, x)
+    for x, y in zip(node[same].tolist(), node[same + 1].tolist(), strict=True):
+        a, b = find(x), find(y)
+        if a != b:
+            root[max(a, b)] = min(a, b)
     pairs = [(x, find(x)) for x in list(root)]
+    return _edges(pairs)
+
+
+def _edges(pairs: list[tuple[int, int]]) -> pa.Table:
     return pa.table([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], ["a", "b"])
 
 
 class InvertedIndex:
-    """Inverted lists of the shingles that at least two of the given sets hold."""
+    """Inverted lists of the shingles of the given sets, ascending and one behind the other."""
 
     def __init__(self, sets: list[np.ndarray], members: list[int]):
-        self.sets = sets
+        self.sizes, self.n = np.array([len(s) for s in sets]), max(1, len(sets))
         token = np.concatenate([sets[i] for i in members]) if members else np.zeros(0, T.U64)
         owner = np.repeat(np.array(members, np.int64), [len(sets[i]) for i in members])
-        order = np.lexsort((owner, token))
-        token, self.owner = token[order], owner[order]
-        self.tokens, first = np.unique(token, return_index=True)
-        self.first = np.append(first, len(token))
-
-    def lists(self, query: np.ndarray) -> list[np.ndarray]:
-        if not len(self.tokens):
-            return []
-        at = np.minimum(np.searchsorted(self.tokens, query), len(self.tokens) - 1)
-        return [self.owner[self.first[i] : self.first[i + 1]] for i in at[self.tokens[at] == query]]
+        order = np.argsort(token)
+        token = token[order]
+        new = np.ones(len(token), bool)
+        new[1:] = token[1:] != token[:-1]
+        self.tokens, self.first = token[new], np.append(np.flatnonzero(new), len(token))
+        self.placed = np.sort((np.cumsum(new) - 1) * self.n + owner[order])  # (list, owner) as one number
+        self.owner = (self.placed % self.n).tolist()
 
     def search(self, query: np.ndarray) -> list[int]:
         """Sets that link with query: T-occurrence by DivideSkip, then the exact condition on sizes."""
         least = int(least_overlap(len(query)))
-        lists = sorted(self.lists(query), key=len)
-        if len(lists) < least:
+        if len(self.tokens) < least:
+            return []
+        at = np.minimum(np.searchsorted(self.tokens, query), len(self.tokens) - 1)
+        at = at[self.tokens[at] == query]
+        if len(at) < least:
             return []
-        n_long = min(int(least / (MU * log2(max(2, len(lists[-1]))) + 1)), least - 1)
-        short, long = lists[: len(lists) - n_long], lists[len(lists) - n_long :]
-        found = []
-        for one, same in groupby(heapq.merge(*(x.tolist() for x in short))):
-            count = sum(1 for _ in same)
-            if count >= least - n_long:
-                found.append((one, count))
+        size = self.first[at + 1] - self.first[at]
+        order = np.argsort(size, kind="stable")
+        at, longest = at[order], int(size[order[-1]])
+        n_long = min(int(least / (MU * log2(max(2, longest)) + 1)), least - 1)
+        short, long = at[: len(at) - n_long], at[len(at) - n_long :]
+        lists = [self.owner[a:b] for a, b in zip(self.first[short].tolist(), self.first[short + 1].tolist(), strict=True)]
+        found = [(one, count) for one, same in groupby(heapq.merge(*lists)) if (count := sum(1 for _ in same)) >= least - n_long]
         if not found:
             return []
         own, overlap = np.array([f[0] for f in found]), np.array([f[1] for f in found])
-        for x in long:
-            at = np.minimum(np.searchsorted(x, own), len(x) - 1)
-            overlap = overlap + (x[at] == own)
-        size = np.array([len(self.sets[i]) for i in own])
-        return own[100 * overlap >= 75 * (len(query) + size - overlap)].tolist()
+        if len(long):  # a binary search of each found set in each long list
+            wanted = long[:, None] * self.n + own
+            near = np.minimum(np.searchsorted(self.placed, wanted), len(self.placed) - 1)
+            overlap = overlap + (self.placed[near] == wanted).sum(0)
+        return own[100 * overlap >= 75 * (len(query) + self.sizes[own] - overlap)].tolist()
 
 
 def _read_sets(group: pa.Table) -> tuple[list[int], list[np.ndarray]]:
@@ -252,67 +280,100 @@ def _search_cell(group: pa.Table) -> pa.Table:
                     del free[other]
                     edge.append(other)
                     edges.append((ids[other], ids[seed]))
-    return pa.table([pa.array([e[0] for e in edges], pa.int64()), pa.array([e[1] for e in edges], pa.int64())], ["a", "b"])
+    return _edges(edges)
 
 
 def _search_rest(group: pa.Table) -> pa.Table:
-    """Edges between the components of sets found apart (query) and those of a cell's own sets."""
+    """Edges between the groups of sets from elsewhere (query) and those of a cell's own sets."""
     ids, sets = _read_sets(group)
     query, root = group["query"].to_pylist(), group["root"].to_pylist()
     index, edges = InvertedIndex(sets, [i for i in range(len(ids)) if not query[i]]), set()
     for i in range(len(ids)):
         if query[i]:
             edges.update((root[i], root[j]) for j in index.search(sets[i]) if root[j] != root[i])
-    found = sorted(edges)
-    return pa.table([pa.array([e[0] for e in found], pa.int64()), pa.array([e[1] for e in found], pa.int64())], ["a", "b"])
+    return _edges(sorted(edges))
+
 
+def _explode_holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for bucket, value in zip(batch["bucket"].to_pylist(), batch["data"], strict=True):
+            token, node = _holders(value.as_py())
+            token = token | (T.U64(bucket) << T.U64(B.KEPT_BITS))
+            yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(node)], ["token", "node"])
 
-def _links(sets: DataFrame, parts: DataFrame, n: int) -> DataFrame:
-    """Edges (a, b) that join all linked sets. sets: (node, data); parts: (node, root), the blocks."""
+
+def searches(known: DataFrame, holders: DataFrame) -> DataFrame:
+    """(node, root, block, cell): which cells each set must be searched against, besides its own.
+
+    known: (node, block, cell, root) of the sets of large blocks; holders: (token, node). Of the groups (roots) that
+    hold a rare shingle, all but the largest search the cells in which another group holds it.
+    """
+    held = written(holders.join(known, "node").distinct(), "held")
+    groups = held.groupBy("token", "root").agg(F.count("*").alias("n")).groupBy("token").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("groups"))
+    split = groups.where("groups > 1").select("token", "main")
+    mixed = written(held.join(split, "token"), "mixed", held)
+    targets = mixed.select("token", "block", F.col("cell").alias("to"), F.col("root").alias("other")).distinct()
+    asking = mixed.where("root != main").select("token", "node", "root", "cell")
+    out = asking.join(targets, "token").where("root != other and cell != to").select("node", "root", "block", F.col("to").alias("cell")).distinct()
+    return written(out, "searches", mixed)
+
+
+def _links(sets: DataFrame, parts: DataFrame, holders: DataFrame, n: int) -> DataFrame:
+    """Edges (a, b) that join all linked sets. sets: (node, data); parts: (node, root), the blocks; holders: (token, node)."""
     heads = parts.select(F.col("root").alias("node"), "root").distinct()
-    blocks = parts.unionByName(heads)
-    sizes = blocks.groupBy("root").agg(F.count("*").alias("size"))
-    placed = blocks.join(sizes, "root").select("node", F.col("root").alias("block"), "size")
+    members = parts.unionByName(heads)
+    sizes = members.groupBy("root").agg(F.count("*").alias("n"))
+    with tidy(parts.sparkSession):
+        total = sizes.agg(F.sum("n").alias("s")).first().s or 0
     cells = F.greatest(F.lit(1), F.ceil(F.col("size") / CELL)).cast("int")
-    placed = placed.withColumn("cells", cells).withColumn("cell", F.pmod(F.xxhash64("node"), F.col("cells")).cast("int"))
-    rows = written(sets.join(placed, "node"), "placed")
+    placed = join_hubs(members, sizes.withColumn("size", F.col("n")), "root", total).select("node", F.col("root").alias("block"), "size", cells.alias("cells"))
+    placed = written(placed.withColumn("cell", F.pmod(F.xxhash64("node"), F.col("cells")).cast("int")), "placed", parts)
     chance = F.pmod(F.xxhash64("node", F.lit(99)), F.lit(1 << 20)) / F.lit(float(1 << 20))
     leads = (F.col("cells") > 1) & (chance < LEADERS / F.col("size"))
-    spread = rows.withColumn("cell", F.explode(F.when(leads, F.sequence(F.lit(0), F.col("cells") - 1)).otherwise(F.array("cell"))))
+    spread = placed.withColumn("cell", F.explode(F.when(leads, F.sequence(F.lit(0), F.col("cells") - 1)).otherwise(F.array("cell"))))
     small = F.col("cells") == 1  # blocks of one cell share a group, which costs less than a group each
-    keyed = spread.select("node", "data", F.when(small, F.pmod(F.xxhash64("block"), F.lit(n))).otherwise(F.col("block")).alias("g"), F.when(small, -1).otherwise(F.col("cell")).alias("c"))
+    keyed = spread.join(sets, "node").select("node", "data", F.when(small, F.pmod(F.xxhash64("block"), F.lit(n))).otherwise(F.col("block")).alias("g"), F.when(small, -1).otherwise(F.col("cell")).alias("c"))
     found = written(keyed.groupBy("g", "c").applyInArrow(_search_cell, "a long, b long"), "links")
-    large = rows.where("cells > 1")
-    if large.isEmpty():
+    large = placed.where("cells > 1").select("node", "block", "cell")
+    with tidy(parts.sparkSession):
+        none = large.isEmpty()
+    if none:
+        delete(placed)
         return found
     roots = components(found)
-    known = large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    count = known.groupBy("block", "root").agg(F.count("*").alias("m"))
-    main = count.groupBy("block").agg(F.max_by("root", F.struct("m", "root")).alias("main"))
-    known = written(known.join(main, "block"), "apart")
-    own = known.select("block", "cell", "node", "root", "data", F.lit(False).alias("query"))
-    apart = known.where("root != main").select("block", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"), "node", "root", "data", F.lit(True).alias("query"))
-    some = known.where("root != main").select("block").distinct()
-    rest = own.join(some, "block", "left_semi").unionByName(apart).groupBy("block", "cell").applyInArrow(_search_rest, "a long, b long")
-    return found.unionByName(rest)
+    known = written(large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "known", placed, roots)
+    asked = searches(known, holders)
+    load = asked.groupBy("block", "cell").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("parts"))
+    load = written(load, "load")
+    own = known.join(load, ["block", "cell"]).select("block", "cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "node", "root", F.lit(False).alias("query"))
+    queries = asked.join(load, ["block", "cell"]).select("block", "cell", F.pmod(F.xxhash64("node", F.lit(5)), F.col("parts")).cast("int").alias("part"), "node", "root", F.lit(True).alias("query"))
+    rest = own.unionByName(queries).join(sets, "node").groupBy("block", "cell", "part").applyInArrow(_search_rest, "a long, b long")
+    return written(found.unionByName(rest), "all_links", found, known, asked, load)
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id (least id that links reach) of each row."""
-    n = B.buckets(docs.sparkSession)
-    id_type = docs.schema[id_col].dataType.simpleString()
-    arrow_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
+    spark, kind = docs.sparkSession, docs.schema[id_col].dataType
     table = B.packed(docs, id_col, text_col, _lower_words)
+    n = B.buckets(table)
     shared = _frequencies(table, k, n)
-    found = written(table.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_candidates(k, n, arrow_type), f"kind int, key long, doc_id {id_type}, n long, data binary"), "candidates")
-    near = found.where("kind = 0").select(F.col("key").alias("bucket"), "data").groupBy("bucket").applyInArrow(_join_sets, "a long, b long")
+    found = table.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_candidates(k, n, to_arrow_type(kind)), f"kind int, key long, doc_id {kind.simpleString()}, n long, data binary")
+    found = written(found, "candidates", table)
+    held = found.where("kind = 0").select(F.col("key").alias("bucket"), "data")
+    blocks = components(held.groupBy("bucket").applyInArrow(_join_sets, "a long, b long"))
     sets = found.where("kind = 1").groupBy(F.col("key").alias("node")).agg(F.first("data").alias("data"))
-    roots = components(_links(sets, components(near), n))
-    docs_of = found.where("kind = 2").select(F.col("key").alias("node"), "doc_id", F.col("n").alias("n_shingles"))
-    some = docs_of.where("n_shingles > 0").join(roots, "node", "left").select("doc_id", "n_shingles", F.coalesce("root", "node").alias("root"))
-    least = some.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    joined = some.join(least, "root").select("doc_id", "n_shingles", "component_id")
-    return joined.unionByName(docs_of.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    links = _links(sets, blocks, held.mapInArrow(_explode_holders, "token long, node long"), n)
+    roots = components(links, links)
+    rows = found.where("kind = 2").select(F.col("key").alias("node"), "doc_id", F.col("n").alias("n_shingles"))
+    some = rows.where("n_shingles > 0")
+    nodes = some.groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    nodes = written(nodes, "nodes", roots)
+    with tidy(spark):
+        total = nodes.agg(F.sum("n").alias("s")).first().s or 0
+    groups = nodes.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))
+    named = written(join_hubs(nodes.select("node", "root", F.col("n").alias("copies")), groups, "root", total).select("node", "component_id", F.col("copies").alias("n")), "named", nodes)
+    joined = join_hubs(some, named, "node", total).select("doc_id", "n_shingles", "component_id")
+    return written(joined.unionByName(rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))), "components", found, named)
 
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5) -> DataFrame:
@@ -321,8 +382,8 @@ def drop_near_duplicates(docs: DataFrame, k: int = 5) -> DataFrame:
     Ids are taken to tell rows apart. Of equal rows with one id one stays; different texts under one id stay, and so do
     rows with a null id.
     """
-    kept = jaccard_components(docs, k).where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows"))
-    kept = written(kept, "kept")
+    found = jaccard_components(docs, k)
+    kept = written(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows")), "kept", found)
     once = docs.join(kept.where("rows = 1"), "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
     several = kept.where("rows > 1")
     return once if several.isEmpty() else once.unionByName(docs.join(several, "doc_id", "left_semi").distinct())

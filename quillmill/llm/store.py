@@ -1,32 +1,78 @@
-"""Where intermediate tables go: the shared folder that spark.checkpoint.dir names."""
+"""Where intermediate tables go: the shared folder that spark.checkpoint.dir names.
+
+A table is deleted as soon as what reads it has been written, and the shuffle files of each write go when it ends, so
+that a run holds the tables of one step and not of all. What is left after an operator is the table that its result reads.
+"""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder. Where none is set (tests on one machine), a temporary one is set."""
+    """The session's checkpoint folder. A local session without one gets a temporary folder; a cluster without one is an error."""
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if conf:
         return conf.rstrip("/")
     have = spark.sparkContext.getCheckpointDir()
     if have:
         return have.rstrip("/")
+    if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     own = tempfile.mkdtemp(prefix="quillmill-")
     spark.sparkContext.setCheckpointDir(own)
     return own
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: later passes see the same rows, and lineage is cut."""
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the actions inside go when each action ends."""
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
+def written(df: DataFrame, name: str, *done: DataFrame) -> DataFrame:
+    """Write df to the shared folder and read it back: later passes see the same rows, and lineage is cut.
+
+    done: tables written before that nothing reads after this one; they are deleted.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with tidy(spark):
+        df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _paths[out] = path
+    delete(*done)
+    return out
+
+
+def renamed(table: DataFrame, *names: str) -> DataFrame:
+    """A written table under other column names; it takes the table's place."""
+    out = table.toDF(*names)
+    _paths[out] = _paths.pop(table)
+    return out
+
+
+def delete(*tables: DataFrame) -> None:
+    """Delete tables that written() returned."""
+    for table in tables:
+        path = _paths.pop(table, None)
+        if path:
+            root = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            root.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

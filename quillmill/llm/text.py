@@ -132,7 +132,8 @@ def shingle_sets(buf: np.ndarray, off: np.ndarray, k: int = 5) -> tuple[np.ndarr
     if len(short):
         whole = np.array([int(_whole(words[first[i] : first[i + 1]])) for i in short], U64)
         doc, value = np.concatenate([doc, short]), np.concatenate([value, whole])
-    order = np.lexsort((value, doc))
+    order = np.argsort(value)
+    order = order[np.argsort(doc[order].astype(np.uint16 if len(n_words) < 1 << 16 else np.int64), kind="stable")]  # a radix sort
     doc, value = doc[order], value[order]
     keep = np.ones(len(doc), bool)
     keep[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
