@@ -310,11 +310,10 @@ def searches(known: DataFrame, holders: DataFrame) -> DataFrame:
     """
     held = written(holders.join(known, "node").distinct(), "held")
     groups = held.groupBy("token", "root").agg(F.count("*").alias("n")).groupBy("token").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("groups"))
-    split = groups.where("groups > 1").select("token", "main")
-    mixed = written(held.join(split, "token"), "mixed", held)
-    targets = mixed.select("token", "block", F.col("cell").alias("to"), F.col("root").alias("other")).distinct()
+    mixed = written(held.join(groups.where("groups > 1").select("token", "main"), "token"), "mixed", held)
+    targets = mixed.groupBy("token", "block", F.col("cell").alias("to")).agg(F.min("root").alias("low"), F.max("root").alias("high"))  # a row for each cell, however many sets
     asking = mixed.where("root != main").select("token", "node", "root", "cell")
-    out = asking.join(targets, "token").where("root != other and cell != to").select("node", "root", "block", F.col("to").alias("cell")).distinct()
+    out = asking.join(targets, "token").where("cell != to and not (low = root and high = root)").select("node", "root", "block", F.col("to").alias("cell")).distinct()
     return written(out, "searches", mixed)
 
 
@@ -344,11 +343,10 @@ def _links(sets: DataFrame, parts: DataFrame, holders: DataFrame, n: int) -> Dat
     known = written(large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "known", placed, roots)
     asked = searches(known, holders)
     load = asked.groupBy("block", "cell").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("parts"))
-    load = written(load, "load")
     own = known.join(load, ["block", "cell"]).select("block", "cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "node", "root", F.lit(False).alias("query"))
     queries = asked.join(load, ["block", "cell"]).select("block", "cell", F.pmod(F.xxhash64("node", F.lit(5)), F.col("parts")).cast("int").alias("part"), "node", "root", F.lit(True).alias("query"))
     rest = own.unionByName(queries).join(sets, "node").groupBy("block", "cell", "part").applyInArrow(_search_rest, "a long, b long")
-    return written(found.unionByName(rest), "all_links", found, known, asked, load)
+    return written(found.unionByName(rest), "all_links", found, known, asked)
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

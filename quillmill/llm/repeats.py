@@ -7,8 +7,9 @@ hash; equal windows pick equal anchors. Consecutive windows with one anchor form
 2. Segments of repeated anchors go, as text, to the shard that their anchor's hash names, so all occurrences of a
    window meet in one shard. An anchor with very many different segments (the edge of a passage that countless
    documents share) is split: its windows travel one by one, dealt out by their own hash.
-3. Each shard indexes its different segments and reports the windows that the index holds more than once. Segments
-   whose anchor has one single text are settled by their number.
+3. Each shard indexes its different segments, with how often each occurs, and reports the windows that the index holds
+   more than once. Only keys whose texts are all of one window (split anchors, above all) have nothing to search in:
+   equal texts are counted.
 4. The reports go back to the blocks of documents.
 
 The index is the caller's: an FM-index (words) or merged Burrows-Wheeler transforms (bytes).
@@ -33,6 +34,7 @@ _PLACE = 24  # bits of a position within a slice
 HOT_SEGMENTS, HOT_SHARE = 512, 0.1
 #: Text of one index.
 INDEX_BYTES = 1 << 20
+LOW = T.U64((1 << B.KEPT_BITS) - 1)
 
 
 @dataclass
@@ -71,15 +73,16 @@ def _least(values: np.ndarray, w: int) -> np.ndarray:
 
 @dataclass
 class Segments:
-    """first and last window of each segment, its anchor's hash, and a hash of its units."""
+    """first and last window of each segment, its anchor's bucket key and place, and a hash of its units."""
 
     a: np.ndarray
     b: np.ndarray
     anchor: np.ndarray
+    at: np.ndarray
     ident: np.ndarray
 
 
-def segments(units: Units, window: int, k: int) -> tuple[Segments, Callable[[np.ndarray], np.ndarray]]:
+def segments(units: Units, window: int, k: int, n_buckets: int) -> tuple[Segments, Callable[[np.ndarray], np.ndarray]]:
     """Segments of a slice, and a function that hashes the windows at given starts."""
     v, n = units.values, len(units.values)
     power, inverse = T._power(T._BASE, n), T._power(T._INVERSE, n + 1)
@@ -89,7 +92,7 @@ def segments(units: Units, window: int, k: int) -> tuple[Segments, Callable[[np.
     def hashes(a: np.ndarray, length: np.ndarray | int) -> np.ndarray:
         return T.mix((sums[a + length] - sums[a]) * inverse[a] + np.asarray(length).astype(T.U64))
 
-    none = Segments(*(np.zeros(0, t) for t in (np.int64, np.int64, T.U64, T.U64)))
+    none = Segments(*(np.zeros(0, t) for t in (np.int64, np.int64, T.U64, np.int64, T.U64)))
     counts = np.diff(units.first) - window + 1
     whole = np.flatnonzero(counts > 0)
     if n < window or not len(whole):
@@ -102,7 +105,7 @@ def segments(units: Units, window: int, k: int) -> tuple[Segments, Callable[[np.
     new[1:] = own[1:] != own[:-1]
     lead = np.flatnonzero(new)
     a, b = start[lead], start[np.append(lead[1:], len(start)) - 1]
-    return Segments(a, b, grams[own[lead]], hashes(a, b - a + window)), lambda s: hashes(s, window)
+    return Segments(a, b, B.bucket_keys(grams[own[lead]], n_buckets), own[lead], hashes(a, b - a + window)), lambda s: hashes(s, window)
 
 
 def _count_anchors(table: DataFrame, unit: Callable, window: int, k: int, n: int) -> DataFrame:
@@ -113,13 +116,13 @@ def _count_anchors(table: DataFrame, unit: Callable, window: int, k: int, n: int
 
         def rows(parts: Iterator) -> Iterator[pa.RecordBatch]:
             for bucket, (anchor, block, times, kinds) in parts:
-                yield B.binary_batch(["bucket", "data"], [(bucket, B.squeeze(anchor, block, times, kinds))])
+                yield B.binary_batch(["bucket", "data"], [(bucket, B.squeeze(B.pack_sorted(anchor & LOW), block, times, kinds))])
 
         for batch in batches:
             for block, texts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 off, buf = B.expand(texts.as_py(), np.int64, np.uint8)
                 for _, own, first in B.pieces(off, buf):
-                    found, _ = segments(unit(own, first), window, k)
+                    found, _ = segments(unit(own, first), window, k, n)
                     if len(found.a):
                         order = np.lexsort((found.ident, found.anchor))
                         anchor, ident = found.anchor[order], found.ident[order]
@@ -135,9 +138,11 @@ def _count_anchors(table: DataFrame, unit: Callable, window: int, k: int, n: int
 
 def _repeated_anchors(table: pa.Table) -> pa.Table:
     """(block, blob of the repeated anchors that it holds and whether each is split)."""
-    parts = [B.expand(x.as_py(), T.U64, np.int64, np.uint8, np.uint16) for x in table["data"]]
+    parts = [B.expand(x.as_py(), np.uint8, np.int64, np.uint8, np.uint16) for x in table["data"]]
+    parts = [(B.unpack_sorted(p[0]), *p[1:]) for p in parts]
     anchor, block, times, kinds = (np.concatenate(c) for c in zip(*parts, strict=True))
-    order = np.argsort(anchor, kind="stable")
+    anchor |= T.U64(table["bucket"][0].as_py()) << T.U64(B.KEPT_BITS)
+    order = np.argsort(anchor)
     anchor, block, times, kinds = anchor[order], block[order], times[order], kinds[order]
     lead = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
     total, load = np.add.reduceat(times.astype(np.int64), lead), np.add.reduceat(kinds.astype(np.int64), lead)
@@ -170,10 +175,10 @@ class Hits:
         order = np.argsort(anchor)
         self.anchor, self.hot = anchor[order], hot[order]
 
-    def pick(self, found: Segments, window_hash: Callable, window: int) -> tuple[np.ndarray, ...]:
-        """First window, last window, key and identity of each segment that must be looked up."""
+    def pick(self, found: Segments, window_hash: Callable, n_buckets: int) -> tuple[np.ndarray, ...]:
+        """First window, last window, key and identity of each segment that must be looked up, and its anchors' places."""
         if not len(self.anchor) or not len(found.a):
-            return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, T.U64),) * 2
+            return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, T.U64),) * 2 + (np.zeros(0, np.int64),)
         at = np.minimum(np.searchsorted(self.anchor, found.anchor), len(self.anchor) - 1)
         some = self.anchor[at] == found.anchor
         hot = some & self.hot[at]
@@ -181,40 +186,42 @@ class Hits:
         length = (found.b - found.a + 1)[hot]
         single = np.repeat(found.a[hot], length) + np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
         own = window_hash(single)
-        return np.concatenate([found.a[plain], single]), np.concatenate([found.b[plain], single]), np.concatenate([found.anchor[plain], own]), np.concatenate([found.ident[plain], own])
+        keys = np.concatenate([found.anchor[plain], B.bucket_keys(own, n_buckets)])
+        return np.concatenate([found.a[plain], single]), np.concatenate([found.b[plain], single]), keys, np.concatenate([found.ident[plain], own]), np.unique(found.at[some])
 
 
 def _ship(unit: Callable, window: int, k: int, n: int) -> Callable:
-    """Cogroup of a block's chunks and hits: (bucket, block, blob of keys, identities, occurrences, lengths, texts)."""
+    """Cogroup of a block's chunks and hits: (bucket, block, blob of keys, identities, occurrences, windows, lengths, texts)."""
 
     def ship(left: pa.Table, right: pa.Table) -> pa.Table:
         hits, rows = Hits([x.as_py() for x in right["data"]]), []
-        key, ident, times, texts = [], [], [], []
+        key, ident, times, wide, texts = [], [], [], [], []
         if left.num_rows and right.num_rows:
             seen: dict[tuple[int, int], int] = {}
             for value in left["texts"]:
                 off, buf = B.expand(value.as_py(), np.int64, np.uint8)
                 for _, own, first in B.pieces(off, buf):
                     units = unit(own, first)
-                    found, window_hash = segments(units, window, k)
-                    for a, b, x, y in zip(*(c.tolist() for c in hits.pick(found, window_hash, window)), strict=True):
+                    found, window_hash = segments(units, window, k, n)
+                    for a, b, x, y in zip(*(c.tolist() for c in hits.pick(found, window_hash, n)[:4]), strict=True):
                         at = seen.get((x, y))
                         if at is None:
                             seen[x, y] = len(key)
                             key.append(x)
                             ident.append(y)
                             times.append(1)
+                            wide.append(b - a + 1)
                             texts.append(units.span(a, b + window))
                         else:
                             times[at] = 2
             if key:
                 block = left["block"][0].as_py()
-                keys, idents, counts = np.array(key, T.U64), np.array(ident, T.U64), np.array(times, np.uint8)
+                keys, idents, counts, widths = np.array(key, T.U64), np.array(ident, T.U64), np.array(times, np.uint8), np.array(wide, np.int32)
                 order, lead = B.by_bucket(keys, n)
                 for b in np.flatnonzero(np.diff(lead)):
                     own = order[lead[b] : lead[b + 1]]
                     data = [texts[i] for i in own]
-                    rows.append((int(b), block, B.squeeze(keys[own], idents[own], counts[own], np.array([len(d) for d in data], np.int64), np.frombuffer(b"".join(data), np.uint8))))
+                    rows.append((int(b), block, B.squeeze(keys[own], idents[own], counts[own], widths[own], np.array([len(d) for d in data], np.int64), np.frombuffer(b"".join(data), np.uint8))))
         return pa.Table.from_batches([B.binary_batch(["bucket", "block", "data"], rows)])
 
     return ship
@@ -225,11 +232,11 @@ def _solve(solver: Callable) -> Callable:
 
     def solve(table: pa.Table) -> pa.Table:
         owner: dict[tuple[int, bytes], int] = {}
-        keys, texts, times, homes = [], [], [], []
+        keys, texts, times, wide, homes = [], [], [], [], []
         for block, value in zip(table["block"].to_pylist(), table["data"], strict=True):
-            key, ident, count, length, data = B.expand(value.as_py(), T.U64, T.U64, np.uint8, np.int64, np.uint8)
+            key, ident, count, windows, length, data = B.expand(value.as_py(), T.U64, T.U64, np.uint8, np.int32, np.int64, np.uint8)
             data, end = data.tobytes(), 0
-            for x, y, c, size in zip(key.tolist(), ident.tolist(), count.tolist(), length.tolist(), strict=True):
+            for x, y, c, w, size in zip(key.tolist(), ident.tolist(), count.tolist(), windows.tolist(), length.tolist(), strict=True):
                 text = data[end : end + size]
                 end += size
                 at = owner.get((x, text))
@@ -238,20 +245,19 @@ def _solve(solver: Callable) -> Callable:
                     keys.append(x)
                     texts.append(text)
                     times.append(0)
+                    wide.append(w)
                     homes.append([])
                 times[at] += c
                 homes[at].append((block, y))
         owner.clear()
-        kinds: dict[int, int] = {}
-        for x in keys:
-            kinds[x] = kinds.get(x, 0) + 1
-        mixed = sorted((i for i, x in enumerate(keys) if kinds[x] > 1), key=lambda i: keys[i])
-        found = {}
-        for batch in _batches(mixed, keys, texts):
+        widest: dict[int, int] = {}
+        for x, w in zip(keys, wide, strict=True):
+            widest[x] = max(widest.get(x, 1), w)
+        found = {i: [(0, 0)] if times[i] > 1 else [] for i, x in enumerate(keys) if widest[x] == 1}  # texts of one window: equal or not
+        for batch in _batches(sorted((i for i in range(len(keys)) if i not in found), key=lambda i: keys[i]), keys, texts):
             found.update(zip(batch, solver([texts[i] for i in batch], [times[i] for i in batch]), strict=True))
         out: dict[int, list[tuple[int, int, int]]] = {}
-        for i in range(len(texts)):
-            runs = found[i] if i in found else ([(0, 1 << 30)] if times[i] > 1 else [])
+        for i, runs in found.items():
             for block, y in homes[i] if runs else ():
                 out.setdefault(block, []).extend((y, a, b) for a, b in runs)
         rows = []
@@ -298,11 +304,12 @@ class Reports:
 
 
 def mark_repeats(table: DataFrame, unit: Callable, window: int, k: int, solver: Callable, digest: Callable, schema: str) -> DataFrame:
-    """digest(ids, units, covered) of each slice of a packed table, where covered tells the units in repeated windows.
+    """digest(ids, units, covered, anchors) of each slice of a packed table, which is deleted with the other tables.
 
-    digest returns an Arrow table of the given schema.
+    covered tells the units in repeated windows; anchors has the units at which a k-gram starts that some window picked
+    as its anchor and that some other window, elsewhere, picked too. digest returns an Arrow table of the given schema.
     """
-    n = B.buckets(table.sparkSession)
+    n = B.buckets(table)
     counted = _count_anchors(table, unit, window, k, n).groupBy("bucket").applyInArrow(_repeated_anchors, "block long, kind long, data binary")
     hits = written(counted, "anchors")
     shipped = table.groupBy("block").cogroup(hits.groupBy("block")).applyInArrow(_ship(unit, window, k, n), "bucket long, block long, data binary")
@@ -318,13 +325,14 @@ def mark_repeats(table: DataFrame, unit: Callable, window: int, k: int, solver:
             own_ids = B.ids_of(ids.as_py())
             for i, own, first in B.pieces(off, buf):
                 units = unit(own, first)
-                covered = np.zeros(len(units.values), bool)
-                if len(runs.ident):
-                    found, window_hash = segments(units, window, k)
-                    a, b, _, ident = hits.pick(found, window_hash, window)
-                    covered = runs.covered(len(units.values), a, b, ident, window)
-                out.append(digest(own_ids.slice(i, len(first) - 1), units, covered))
-        return pa.concat_tables(out) if out else digest(pa.array([], pa.int64()), unit(np.zeros(0, np.uint8), np.zeros(1, np.int64)), np.zeros(0, bool))
+                covered, anchors = np.zeros(len(units.values), bool), np.zeros(0, np.int64)
+                if len(hits.anchor):
+                    found, window_hash = segments(units, window, k, n)
+                    a, b, _, ident, anchors = hits.pick(found, window_hash, n)
+                    if len(runs.ident):
+                        covered = runs.covered(len(units.values), a, b, ident, window)
+                out.append(digest(own_ids.slice(i, len(first) - 1), units, covered, anchors))
+        return pa.concat_tables(out) if out else digest(pa.array([], pa.int64()), unit(np.zeros(0, np.uint8), np.zeros(1, np.int64)), np.zeros(0, bool), np.zeros(0, np.int64))
 
     both = hits.unionByName(reports)
-    return table.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(finish, schema)
+    return written(table.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(finish, schema), "marked", table, hits, reports)

@@ -43,7 +43,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_
     """doc_id, n_words, n_removed, kept_sha256 and, if asked for, the kept text of each row."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
-    def digest(ids: pa.Array, units: Units, covered: np.ndarray) -> pa.Table:
+    def digest(ids: pa.Array, units: Units, covered: np.ndarray, _: np.ndarray) -> pa.Table:
         gone, sums, texts = np.concatenate([[0], np.cumsum(covered)]), [], []
         for a, b in zip(units.first[:-1].tolist(), units.first[1:].tolist(), strict=True):
             if a == b:

@@ -26,10 +26,15 @@ LENGTH, GRAM = 400, 48
 
 
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", with_spans: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the removed spans (first and last byte) of each row."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_shared_anchors and, if asked for, the removed spans (first and
+    last byte) of each row.
+
+    n_shared_anchors counts the places of a document where an anchor (gram bytes) starts that is an anchor elsewhere too:
+    it tells of passages that repeat and are too short to be removed.
+    """
     id_type = docs.schema[id_col].dataType.simpleString()
 
-    def digest(ids: pa.Array, units: Units, covered: np.ndarray) -> pa.Table:
+    def digest(ids: pa.Array, units: Units, covered: np.ndarray, anchors: np.ndarray) -> pa.Table:
         rows, gone = [], np.concatenate([[0], np.cumsum(covered)])
         for a, b in zip(units.first[:-1].tolist(), units.first[1:].tolist(), strict=True):
             some = gone[b] > gone[a]
@@ -37,9 +42,10 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col
             text = units.buf[a:b][~covered[a:b]].tobytes() if some else units.span(a, b)
             rows.append((b - a, int(gone[b] - gone[a]), len(spans), hashlib.sha256(text).hexdigest(), [list(s) for s in spans]))
         n, removed, count, sums, spans = zip(*rows, strict=True) if rows else ((),) * 5
-        columns = [ids, *(pa.array(x, pa.int64()) for x in (n, removed, count)), pa.array(sums, pa.string())]
-        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+        shared = np.diff(np.searchsorted(anchors, units.first))
+        columns = [ids, *(pa.array(x, pa.int64()) for x in (n, removed, count)), pa.array(sums, pa.string()), pa.array(shared, pa.int64())]
+        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_shared_anchors"]
         return pa.table([*columns, pa.array(spans, pa.list_(pa.list_(pa.int64())))], [*names, "spans"]) if with_spans else pa.table(columns, names)
 
-    schema = f"doc_id {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", spans array<array<long>>" * with_spans
+    schema = f"doc_id {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_shared_anchors long" + ", spans array<array<long>>" * with_spans
     return mark_repeats(packed(docs, id_col, text_col), single_bytes, length, gram, repeated_strings(length), digest, schema)

@@ -98,16 +98,58 @@ def test_matching_statistics():
 def test_merged_order():
     rng = random.Random(6)
     texts = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(64, 120))) for _ in range(9)]
+    texts += [texts[0][5:70], texts[3][10:60], texts[3][:45] + texts[5][20:60], b"ab" * 40, bytes(rng.choice(b"cd") for _ in range(50))]
+    heavy = np.zeros(len(texts), bool)
+    heavy[[7, 13]] = True
     rotations = bwt_merge.Rotations(texts)
-    cuts = np.append(rotations.first, rotations.size.sum())[[0, 2, 5, 9]]
-    merged, parted = bwt_merge.merge(rotations, list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)), 32)
-    heads = []
-    for p in merged:
-        t = int(np.searchsorted(rotations.first, p, "right")) - 1
-        heads.append((texts[t] * 3)[p - rotations.first[t] :][:32])
-    assert heads == sorted(heads)
-    for i in range(1, len(heads)):
-        assert (parted[i] == 0) == (heads[i] == heads[i - 1]) and (parted[i] == 0 or heads[i][: 16 * parted[i] - 16] == heads[i - 1][: 16 * parted[i] - 16])
+    cuts = np.append(rotations.first, rotations.size.sum())[[0, 2, 5, 9, 14]]
+    shards = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+    for lo, hi in shards:
+        order = rotations.sorted_shard(lo, hi, 48)
+        heads = [(texts[t] * 3)[p - rotations.first[t] :][:48] for p in order for t in [rotations.text[p]]]
+        assert heads == sorted(heads)
+    many, interval, alone, parted = bwt_merge.merge(rotations, shards, 32, heavy)
+    place = lambda p: (int(rotations.text[p]), int(rotations.place[p]))
+    own = {(t, i): d[i : i + 32] for t, d in enumerate(texts) for i in range(len(d) - 31)}
+    times = Counter(own.values())
+    heads = [own[place(p)] for p in many]
+    assert heads == sorted(heads) and {place(p) for p in many} >= {k for k, v in own.items() if times[v] > 1}
+    assert [a == b for a, b in zip(heads, heads[1:])] == [a == b for a, b in zip(interval.tolist(), interval.tolist()[1:])]
+    assert {place(p) for p in many} | {place(p) for p in alone} == {k for k, v in own.items() if times[v] > 1 or heavy[k[0]]}
+    assert set(np.unique(parted)) <= {0, 1, 2}
+
+
+def test_repeats_of_any_length_are_found_in_the_indexes():
+    """Both solvers against counting, on near-equal texts, with texts that stand for several."""
+    rng = random.Random(9)
+    base = [rng.choice("abcdefgh") for _ in range(230)]
+    texts = []
+    for _ in range(40):
+        t = list(base[rng.randrange(60) : rng.randrange(150, 231)])
+        for _ in range(rng.randrange(3)):
+            t[rng.randrange(len(t))] = rng.choice("xyz")
+        texts.append(t)
+    times = [1 + (i % 7 == 0) for i in range(40)]
+    for window, make, join in ((100, fm_index.repeated_windows, " "), (35, fm_index.repeated_windows, " "), (64, bwt_merge.repeated_strings, ""), (32, bwt_merge.repeated_strings, "")):
+        long = [(t, n) for t, n in zip(texts, times, strict=True) if len(t) >= window]
+        seen = Counter()
+        for t, n in long:
+            seen.update({tuple(t[i : i + window]): n for i in range(len(t) - window + 1)} if n > 1 else Counter(tuple(t[i : i + window]) for i in range(len(t) - window + 1)))
+        got = make(window)([join.join(t).encode() for t, _ in long], [n for _, n in long])
+        want = [[i for i in range(len(t) - window + 1) if seen[tuple(t[i : i + window])] > 1] for t, _ in long]
+        assert [[i for a, b in runs for i in range(a, b + 1)] for runs in got] == want
+
+
+def test_nearest_smaller():
+    rng = np.random.default_rng(4)
+    for n in (2, 3, 17, 1000):
+        values = rng.integers(1, 9, n + 1).astype(np.uint8)
+        values[[0, n]] = 0
+        at = np.arange(1, n)
+        near = fm_index.Nearest(values)
+        limit = np.maximum(values[at], 1)
+        assert near.find(at, limit, 0).tolist() == [max(j for j in range(i) if values[j] < limit[i - 1]) for i in at]
+        assert near.find(at, limit, 1).tolist() == [min(j for j in range(i + 1, n + 1) if values[j] < limit[i - 1]) for i in at]
 
 
 def shingles(text, k=5):
