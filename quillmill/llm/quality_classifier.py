@@ -132,10 +132,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label_col: str = "quality
     x = written(features(docs, id_col, text_col), "features")
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(F.col(id_col).alias("doc_id")).agg(F.max(label_col).cast("int").alias("y"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    rows = x.join(F.broadcast(sample), "doc_id").select("x", "y").limit(2 * sample_rows).toPandas()  # sample has a fixed bound
+    rows = x.join(F.broadcast(sample), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "x").select("x", "y").limit(sample_rows).toPandas()  # ids may repeat
     data = np.frombuffer(b"".join(map(bytes, rows["x"])), np.float32).reshape(-1, 2 * DIMS + 1)
-    order = np.lexsort(data.T)  # the order of rows differs between runs
-    model = docs.sparkSession.sparkContext.broadcast(TwoLayer(data[order], rows["y"].to_numpy()[order]))
+    model = docs.sparkSession.sparkContext.broadcast(TwoLayer(data, rows["y"].to_numpy()))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,5 +142,5 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label_col: str = "quality
             s = model.value.score(np.frombuffer(buf.tobytes(), np.float32).reshape(-1, 2 * DIMS + 1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s), pa.array((s >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
 
-    scored = x.mapInArrow(score, f"doc_id {x.schema['doc_id'].dataType.simpleString()}, score double, predicted int")
+    scored = written(x.mapInArrow(score, f"doc_id {x.schema['doc_id'].dataType.simpleString()}, score double, predicted int"), "scores", x)
     return scored.select("doc_id", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"), "score", "predicted")
