@@ -87,7 +87,7 @@ def base_figures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """lang, ref_words and ref_shares (with that of all other words last) of each language with enough words."""
+    """lang, ref_words and ref_shares (with that of all other words last) of each language with enough words, written."""
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     counted = written(rows.select("lang", F.explode(words_of(F.col("text"))).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n")), "words")  # read several times
     total = counted.groupBy("lang").agg(F.sum("n").alias("total")).where(F.col("total") >= MIN_REFERENCE)
@@ -95,7 +95,8 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     common = counted.join(F.broadcast(total) if few else total, "lang").where(F.col("n") >= COMMON * F.col("total"))
     words = common.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("word", (F.col("n") / F.col("total")).alias("share")))).alias("w"))  # at most 1 / COMMON words each
     words = words.select("lang", F.col("w.word").alias("ref_words"), F.concat(F.col("w.share"), F.array(1 - F.aggregate("w", F.lit(0.0), lambda a, x: a + x.share))).alias("ref_shares"))
-    return total.select("lang").join(words, "lang", "left").select("lang", F.coalesce("ref_words", F.array().cast("array<string>")).alias("ref_words"), F.coalesce("ref_shares", F.array(F.lit(1.0))).alias("ref_shares"))
+    found = total.select("lang").join(words, "lang", "left").select("lang", F.coalesce("ref_words", F.array().cast("array<string>")).alias("ref_words"), F.coalesce("ref_shares", F.array(F.lit(1.0))).alias("ref_shares"))
+    return written(found, "references", counted)
 
 
 def distance(p: Column, q: Column) -> Column:
@@ -130,7 +131,7 @@ def common_counts(words: Column, common: Column) -> Column:
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """doc_id, the base figures, base_failed, kept, and the two distances (null where not judged)."""
-    reference = written(references(docs, text_col, lang_col), "references")
+    reference = references(docs, text_col, lang_col)
     few = reference.count() <= BROADCAST_LANGUAGES
     small = F.broadcast if few else lambda df: df
     rows = base_figures(docs, id_col, text_col, lang_col).join(small(reference), "lang", "left")
@@ -142,4 +143,4 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = measured.join(small(sums.join(small(reference.select("lang")), "lang")), "lang", "left")
     rows = rows.withColumn("class_distance", F.when(F.col("word_distance").isNotNull(), distance(F.col("classes"), F.col("ref_classes"))))
     far = F.coalesce((F.col("class_distance") > CLASS_LIMIT) | (F.col("word_distance") > WORD_LIMIT), F.lit(False))
-    return rows.select(*figures, (~F.col("base_failed") & ~far).alias("kept"), "class_distance", "word_distance")
+    return written(rows.select(*figures, (~F.col("base_failed") & ~far).alias("kept"), "class_distance", "word_distance"), "rules", measured, reference)
