@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from quillmill.llm import text as T
 
-CAPACITY, SHARD_DOCS = 2048, 2048
+CAPACITY, SHARD_DOCS, SALTS = 2048, 2048, 4096
 PACKED = "doc_id {id}, piece long, start_word long, n_words long, bin_id long"
 
 
@@ -72,7 +72,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, shard_docs: int = SHARD_DOCS
                 words[i:j] = np.diff(first)
                 same[i:j] = _sequence_ids(T.span_hashes(own, starts, ends), first)
             given = batch.column(4).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words), batch.column(2), pa.array(np.where(given, batch.column(3).to_numpy(), same))], ["doc_id", "n", "source", "cluster"])
+            salt = np.arange(batch.num_rows) % SALTS  # rows that repeat one id and text go to several shards too
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words), batch.column(2), pa.array(np.where(given, batch.column(3).to_numpy(), same)), pa.array(salt, pa.int32())], ["doc_id", "n", "source", "cluster", "salt"])
 
     def place(table: pa.Table) -> pa.Table:
         shard = table["shard"][0].as_py()
@@ -94,8 +95,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, shard_docs: int = SHARD_DOCS
         columns = list(zip(*out, strict=True))
         return pa.table([pa.array(columns[0], table["doc_id"].type), *(pa.array(c, pa.int64()) for c in columns[1:])], ["doc_id", "piece", "start_word", "n_words", "bin_id"])
 
-    measured = rows.mapInArrow(measure, f"doc_id {id_type}, n long, source string, cluster long")
-    sharded = measured.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", F.lit(8)), F.lit(shards)))
+    measured = rows.mapInArrow(measure, f"doc_id {id_type}, n long, source string, cluster long, salt int")
+    sharded = measured.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", "salt"), F.lit(shards))).drop("salt")
     return sharded.groupBy("shard").applyInArrow(place, PACKED.format(id=id_type))
 
 
