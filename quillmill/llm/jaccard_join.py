@@ -4,7 +4,7 @@ Two documents link when 100 * |x & y| >= 75 * |x | y| over their sets of five-wo
 of fewer words is one shingle). No link is lost, and no group is expanded into all its pairs:
 
 1. Equal sets are one node. Linked sets of n shingles share at least ceil(3n/4), so among the first
-   n - ceil(3n/4) + l of each in a common order (by hash; l = 15 in 100 of n) they share l. Sets that do not share
+   n - ceil(3n/4) + l of each in a common order (by hash; l = 30 in 100 of n) they share l. Sets that do not share
    so many of these with any others are out; passages that many documents share do not keep a set in.
 2. For the rest, these shingles are put in order of frequency, rarest first, and only as many kept as linked sets
    must share one of: the rare shingles. Sets that share one fall in one block (connected components).
@@ -76,7 +76,7 @@ class NodeSets:
 
     def prefixes(self, buckets: int) -> tuple[np.ndarray, np.ndarray]:
         """Bucket keys of the first shingles, by hash, of all sets in turn, and where each set's start."""
-        size = self.n - least_overlap(self.n) + np.maximum(1, 15 * self.n // 100)
+        size = self.n - least_overlap(self.n) + np.maximum(1, 30 * self.n // 100)
         first = np.concatenate([[0], np.cumsum(size)])
         at = np.arange(first[-1]) + np.repeat(self.start - first[:-1], size)
         return B.bucket_keys(self.values[at], buckets), first
@@ -155,7 +155,7 @@ def _candidates(k: int, n: int, id_type: pa.DataType):
             prefix, first = nodes.prefixes(n)
             at = np.minimum(np.searchsorted(shared, prefix), len(shared) - 1)
             hit = shared[at] == prefix
-            need = np.maximum(1, 1125 * nodes.n // 10000)
+            need = np.maximum(1, 2250 * nodes.n // 10000)
             some = np.add.reduceat(hit, first[:-1], dtype=np.int64) >= need
             for i in np.flatnonzero(some).tolist():
                 node = int(nodes.ids[i])
@@ -311,9 +311,11 @@ def searches(known: DataFrame, holders: DataFrame) -> DataFrame:
     held = written(holders.join(known, "node").distinct(), "held")
     groups = held.groupBy("token", "root").agg(F.count("*").alias("n")).groupBy("token").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("groups"))
     mixed = written(held.join(groups.where("groups > 1").select("token", "main"), "token"), "mixed", held)
-    targets = mixed.groupBy("token", "block", F.col("cell").alias("to")).agg(F.min("root").alias("low"), F.max("root").alias("high"))  # a row for each cell, however many sets
-    asking = mixed.where("root != main").select("token", "node", "root", "cell")
-    out = asking.join(targets, "token").where("cell != to and not (low = root and high = root)").select("node", "root", "block", F.col("to").alias("cell")).distinct()
+    # a row for each shingle, with its cells as an array: no row for each pair of a set and a cell that shares a shingle
+    targets = mixed.groupBy("token").agg(F.sort_array(F.collect_set("cell")).alias("cells"))
+    asking = mixed.where("root != main").select("token", "node", "root", "block", "cell")
+    reach = asking.join(targets, "token").groupBy("node", "root", "block", "cell").agg(F.collect_set("cells").alias("cells"))
+    out = reach.select("node", "root", "block", F.explode(F.array_remove(F.array_distinct(F.flatten("cells")), F.col("cell"))).alias("cell"))
     return written(out, "searches", mixed)
 
 
