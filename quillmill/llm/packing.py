@@ -55,8 +55,12 @@ def best_fit(sizes: list[int], sources: list, clusters: list, capacity: int) ->
     return placed
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, shard_docs: int = SHARD_DOCS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", cluster_col: str | None = None) -> DataFrame:
-    """doc_id, piece, start_word, n_words and bin_id of each piece of each row."""
+def pack(docs: DataFrame, capacity: int = CAPACITY, shard_docs: int = SHARD_DOCS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", cluster_col: str | None = None, clusters: DataFrame | None = None) -> DataFrame:
+    """doc_id, piece, start_word, n_words and bin_id of each piece of each row.
+
+    clusters (doc_id, cluster), one row for each id at most, goes before the cluster of equal words; it is joined to the
+    measured rows, so that no text is shuffled.
+    """
     id_type = docs.schema[id_col].dataType.simpleString()
     shards = max(1, -(-docs.count() // shard_docs))
     cluster = F.col(cluster_col).cast("string") if cluster_col else F.lit(None).cast("string")
@@ -96,6 +100,10 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, shard_docs: int = SHARD_DOCS
         return pa.table([pa.array(columns[0], table["doc_id"].type), *(pa.array(c, pa.int64()) for c in columns[1:])], ["doc_id", "piece", "start_word", "n_words", "bin_id"])
 
     measured = rows.mapInArrow(measure, f"doc_id {id_type}, n long, source string, cluster long, salt int")
+    if clusters is not None:
+        given = clusters.select(F.col("doc_id").alias("__id"), F.xxhash64(F.col("cluster").cast("string")).alias("__cluster"), F.col("cluster").isNotNull().alias("__has"))
+        joined = measured.join(given, F.col("doc_id") == F.col("__id"), "left")
+        measured = joined.withColumn("cluster", F.when(F.col("__has"), F.col("__cluster")).otherwise(F.col("cluster"))).drop("__id", "__cluster", "__has")
     sharded = measured.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", "salt"), F.lit(shards))).drop("salt")
     return sharded.groupBy("shard").applyInArrow(place, PACKED.format(id=id_type))
 

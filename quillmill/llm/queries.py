@@ -48,7 +48,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     found = jaccard_join.jaccard_components(docs)
     near = written(found.groupBy("doc_id").agg(F.min("component_id").alias("cluster")), "clusters", found)
-    return written(packing.pack(docs.join(near, "doc_id", "left"), cluster_col="cluster"), "packed_bins", near)
+    return written(packing.pack(docs, clusters=near), "packed_bins", near)
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
