@@ -1,4 +1,12 @@
-"""The corpus pipeline: from raw documents to packed bins, in stages that are each written and read again."""
+"""The corpus pipeline: from raw documents to packed bins, in stages that are each written and read again.
+
+Each stage sees all that the one before it kept, and a stage's table is deleted once the next is written.
+
+Edge cases: a document with a null or empty text is no one's copy, leak or toxic text; it passes all stages and ends as one
+piece of 0 words without a bin. Rows that repeat an id are further documents (see jaccard_join.drop_near_duplicates for
+those that repeat their text too). Further columns, whatever their names, are carried to the last stage. An empty table
+gives an empty table of bins; without labels of both classes nothing is toxic, without benchmark items nothing leaks.
+"""
 
 from __future__ import annotations
 
@@ -52,5 +60,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        docs = written(stage(spark, docs, sf_dir), name, docs)
     return STAGES[-1][1](spark, docs, sf_dir)
