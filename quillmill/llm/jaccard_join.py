@@ -97,23 +97,23 @@ def _frequencies(table: DataFrame, k: int, n: int) -> DataFrame:
         out = B.Gatherer(n)
 
         def rows(parts: Iterator) -> Iterator[pa.RecordBatch]:
-            for bucket, (key, block, times) in parts:
-                yield B.binary_batch(["bucket", "data"], [(bucket, B.squeeze(B.pack_sorted(key & LOW), block, times))])
+            for bucket, (key, block) in parts:
+                yield B.binary_batch(["bucket", "data"], [(bucket, B.squeeze(B.pack_sorted(key & LOW), block))])
 
         for batch in batches:
             for block, _, nodes in _chunks(batch, k):
                 if len(nodes.ids):
-                    key, times = np.unique(nodes.prefixes(n)[0], return_counts=True)
-                    yield from rows(out.add(key, np.full(len(key), block), times.astype(np.int32)))
+                    key = nodes.prefixes(n)[0]
+                    yield from rows(out.add(key, np.full(len(key), block)))
         yield from rows(out.flush())
 
     def count(group: pa.Table) -> pa.Table:
-        parts = [B.expand(x.as_py(), np.uint8, np.int64, np.int32) for x in group["data"]]
-        key, block, times = np.concatenate([B.unpack_sorted(p[0]) for p in parts]), np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])
+        parts = [B.expand(x.as_py(), np.uint8, np.int64) for x in group["data"]]
+        key, block = np.concatenate([B.unpack_sorted(p[0]) for p in parts]), np.concatenate([p[1] for p in parts])
         order = np.argsort(key)
-        key, block, times = key[order], block[order], times[order]
-        lead = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        total = np.repeat(np.add.reduceat(times.astype(np.int64), lead), np.diff(np.append(lead, len(key))))
+        key, block = key[order], block[order]
+        size = np.diff(np.append(np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])), len(key)))
+        total = np.repeat(size, size)
         shared = total > 1
         key, block, total = key[shared], block[shared], total[shared]
         order = np.lexsort((key, block))
@@ -142,6 +142,8 @@ def _candidates(k: int, n: int, id_type: pa.DataType):
         number = np.concatenate([p[2] for p in parts]) if parts else np.zeros(0, np.int32)
         order = np.argsort(shared)
         shared, number = shared[order], number[order]
+        some_bits = np.zeros(1 << 22, bool)  # rules most shingles out before a binary search
+        some_bits[shared & T.U64(len(some_bits) - 1)] = True
         kind, key, docs, size, data, seen = [], [], [], [], [], set()
         out = B.Gatherer(n, 1 << 62)
         for _, ids, nodes in _chunks(left, k):
@@ -153,8 +155,9 @@ def _candidates(k: int, n: int, id_type: pa.DataType):
             if not len(shared) or not len(nodes.ids):
                 continue
             prefix, first = nodes.prefixes(n)
-            at = np.minimum(np.searchsorted(shared, prefix), len(shared) - 1)
-            hit = shared[at] == prefix
+            at, hit = np.zeros(len(prefix), np.int64), some_bits[prefix & T.U64(len(some_bits) - 1)]
+            at[hit] = np.minimum(np.searchsorted(shared, prefix[hit]), len(shared) - 1)
+            hit[hit] = shared[at[hit]] == prefix[hit]
             need = np.maximum(1, 2250 * nodes.n // 10000)
             some = np.add.reduceat(hit, first[:-1], dtype=np.int64) >= need
             for i in np.flatnonzero(some).tolist():
@@ -384,6 +387,7 @@ def drop_near_duplicates(docs: DataFrame, k: int = 5) -> DataFrame:
     """
     found = jaccard_components(docs, k)
     kept = written(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows")), "kept", found)
-    once = docs.join(kept.where("rows = 1"), "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
+    # ids grow with the data and are never broadcast; hashing them, not sorting texts, settles a partition
+    once = docs.join(kept.where("rows = 1").hint("shuffle_hash"), "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
     several = kept.where("rows > 1")
     return once if several.isEmpty() else once.unionByName(docs.join(several, "doc_id", "left_semi").distinct())
