@@ -109,8 +109,9 @@ def stage_counts(rows: DataFrame, outcome: Column) -> DataFrame:
 
 def batches(rows: DataFrame, order: list[str], size: int) -> DataFrame:
     """Adds batch: consecutive rows in order, size at a time. Ranges are sorted apart and their counts summed, so no
-    single task sorts or numbers all rows."""
-    parts = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id())
+    single task sorts or numbers all rows. Their number is fixed, so that both branches see the same ranges."""
+    ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id())
     parts = parts.withColumn("__row", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
     counts = parts.groupBy("__part").agg(F.count("*").alias("n"))  # one row for each partition
     before = counts.withColumn("__before", F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillmill.functions.expr import let
+
+TAGGED, KEYED = r"(?U)<(\w+)>(.*?)</\1>", r"(?mU)^(\w+): (.*)$"
 
 def split_record(raw: Column) -> Column:
     """Struct (meta map, body) of a text in either header dialect.
@@ -13,18 +16,39 @@ def split_record(raw: Column) -> Column:
     blank line, keys in lower case, licence as license. Without an isbn key there is no header and the body is all.
     """
     none = F.create_map().cast("map<string,string>")
-    head, after = F.split_part(raw, F.lit("<content>"), F.lit(1)), F.substr(raw, F.locate("<content>", raw) + 9)
-    body = F.when(F.contains(after, F.lit("</content>")), F.substring_index(after, "</content>", -1)).otherwise("")
-    last = F.length(after) - F.length(body) - 10
-    pairs = F.regexp_extract_all(head, F.lit(r"(?U)<(\w+)>(.*?)</\1>"), 1), F.regexp_extract_all(head, F.lit(r"(?U)<(\w+)>(.*?)</\1>"), 2)
-    unique = lambda k, v: F.map_from_entries(F.array_distinct(F.transform(F.array_distinct(k), lambda x: F.struct(x.alias("k"), F.element_at(F.filter(F.arrays_zip(k.alias("k"), v.alias("v")), lambda z: z.k == x), -1).v.alias("v")))))
-    wrapped = F.struct(unique(*pairs).alias("meta"), F.when(F.contains(after, F.lit("</content>")), F.substr(after, F.lit(1), last)).otherwise(after).alias("body"))
-    has_gap = F.locate("\n\n", raw) > 0
-    top = F.when(has_gap, F.split_part(raw, F.lit("\n\n"), F.lit(1))).otherwise(raw)
-    keys = F.transform(F.regexp_extract_all(top, F.lit(r"(?mU)^(\w+): (.*)$"), 1), lambda k: F.when(F.lower(k) == "licence", "license").otherwise(F.lower(k)))
-    values = F.transform(F.regexp_extract_all(top, F.lit(r"(?mU)^(\w+): (.*)$"), 2), lambda v: F.btrim(v))
-    plain = F.struct(unique(keys, values).alias("meta"), F.when(has_gap, F.substr(raw, F.locate("\n\n", raw) + 2)).otherwise("").alias("body"))
-    return F.when(F.ltrim(F.translate(F.substring(raw, 1, 64), "\n\t\r", "   ")).startswith("<doc>"), wrapped).when(F.array_contains(keys, "isbn"), plain).otherwise(F.struct(none.alias("meta"), raw.alias("body")))
+
+    def unique(keys: Column, values: Column) -> Column:
+        """A map in which the last value of a key wins."""
+
+        def of(pairs: Column) -> Column:
+            last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q.k == p.k))
+            return F.map_from_entries(F.transform(last, lambda p: F.struct(p.k, p.v)))
+
+        return let(F.arrays_zip(keys.alias("k"), values.alias("v")), of)
+
+    def wrapped(t: Column) -> Column:
+        head, after = F.substring_index(t, "<content>", 1), F.substr(t, F.locate("<content>", t) + 9)
+
+        def inside(x: Column) -> Column:
+            tail = F.length(F.substring_index(x, "</content>", -1))
+            return F.when(F.contains(x, F.lit("</content>")), F.substr(x, F.lit(1), F.length(x) - tail - 10)).otherwise(x)
+
+        pairs = let(head, lambda h: unique(F.regexp_extract_all(h, F.lit(TAGGED), 1), F.regexp_extract_all(h, F.lit(TAGGED), 2)))
+        return F.struct(pairs.alias("meta"), let(after, inside).alias("body"))
+
+    def plain(t: Column) -> Column:
+        def headed(top: Column) -> Column:
+            keys = F.transform(F.regexp_extract_all(top, F.lit(KEYED), 1), lambda k: F.when(F.lower(k) == "licence", "license").otherwise(F.lower(k)))
+            return let(keys, lambda k: F.when(F.array_contains(k, "isbn"), unique(k, F.transform(F.regexp_extract_all(top, F.lit(KEYED), 2), lambda v: F.btrim(v)))))
+
+        body = F.when(F.locate("\n\n", t) > 0, F.substr(t, F.locate("\n\n", t) + 2)).otherwise("")
+        return let(let(F.substring_index(t, "\n\n", 1), headed), lambda meta: F.when(meta.isNotNull(), F.struct(meta.alias("meta"), body.alias("body"))).otherwise(F.struct(none.alias("meta"), t.alias("body"))))
+
+    return let(raw, lambda t: F.when(is_wrapped(t), wrapped(t)).otherwise(plain(t)))
+
+
+def is_wrapped(raw: Column) -> Column:
+    return F.ltrim(F.translate(F.substring(raw, 1, 64), "\n\t\r", "   ")).startswith("<doc>")
 
 
 def escape(value: Column) -> Column:
@@ -42,7 +66,7 @@ def wrap_record(body: Column, title: Column, author: Column, isbn: Column, langu
 
 def is_done(raw: Column, completed: Column) -> Column:
     """Already wrapped and in the ledger: cleaning such a text again would eat paragraphs."""
-    return F.ltrim(F.translate(F.substring(raw, 1, 64), "\n\t\r", "   ")).startswith("<doc>") & F.coalesce(completed, F.lit(False))
+    return is_wrapped(raw) & F.coalesce(completed, F.lit(False))
 
 
 def one_copy(rows: DataFrame, path: str, order: str, isbn: str = "isbn") -> DataFrame:

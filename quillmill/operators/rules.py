@@ -131,7 +131,10 @@ def _entries(text: Column) -> Column:
 
 
 def screen(rows: DataFrame, rules: RuleSet) -> DataFrame:
-    """rows with hits (in order of discovery) by their catalog columns, nulls taken as empty."""
+    """rows with hits (in order of discovery) by their catalog columns, nulls taken as empty.
+
+    Rows that carry an elim_category already are not screened and have no hits.
+    """
     c = lambda name: F.coalesce(F.col(name), F.lit("")) if name in rows.columns else F.lit("")
     staged = rows.withColumns(
         {
@@ -152,6 +155,8 @@ def screen(rows: DataFrame, rules: RuleSet) -> DataFrame:
         range_hits(rules, _entries(F.col("__lcc"))),
         prefix_hits(rules, _entries(c("dewey"))),
     )
+    if "elim_category" in rows.columns:
+        found = F.when(F.col("elim_category").isNull(), found).otherwise(F.array().cast(HIT))
     staged = staged.withColumn("hits", found).withColumn("hits", adjust(rules, F.col("hits"), authors, topic))
     return staged.drop(*(f"__{x}" for x in ("title", "meta", "desc", "authors", "subjects", "lcc")))
 
@@ -160,6 +165,7 @@ def resolve(rows: DataFrame, rules: RuleSet, title_col: str = "title") -> DataFr
     """Adds elim_category, confidence, elim_reason, matched_terms from hits; a row without hits or title is no_metadata.
 
     High confidence first, then the category's rank, then discovery; the head decides, four distinct reasons are given.
+    What an earlier stage has set (an elim_category that is not null, with its columns) stays.
     """
     order = F.array(*(F.lit(x) for x in rules.categories))
     ranked = F.array_sort(F.transform("hits", lambda h, i: F.struct((h.confidence != "high").cast("int").alias("a"), F.array_position(order, h.category).alias("b"), i.alias("i"), h.alias("h"))))
@@ -168,16 +174,18 @@ def resolve(rows: DataFrame, rules: RuleSet, title_col: str = "title") -> DataFr
     notes = F.transform("__ranked", lambda x: F.concat(x.h.category, F.lit(": "), x.h.label, F.lit(" ('"), x.h.matched, F.lit("' in "), x.h.field, F.lit(")")))
     terms = F.array_sort(F.array_distinct(F.transform("__ranked", lambda x: x.h.matched)))
     some, untitled = F.size("hits") > 0, F.coalesce(F.col(title_col), F.lit("")) == ""
-    return rows.withColumns(
-        {
-            "elim_category": F.when(some, head.category).when(untitled, "no_metadata"),
-            "confidence": F.when(some, head.confidence).when(untitled, "n/a"),
-            "elim_reason": F.when(some, F.array_join(F.slice(F.array_distinct(notes), 1, 4), " | ")).when(untitled, "No title or metadata found; cannot be screened"),
-            "matched_terms": F.when(some, F.substring(F.array_join(terms, "; "), 1, 300)).when(untitled, ""),
-        }
-    ).drop("__ranked")
+    made = {
+        "elim_category": F.when(some, head.category).when(untitled, "no_metadata"),
+        "confidence": F.when(some, head.confidence).when(untitled, "n/a"),
+        "elim_reason": F.when(some, F.array_join(F.slice(F.array_distinct(notes), 1, 4), " | ")).when(untitled, "No title or metadata found; cannot be screened"),
+        "matched_terms": F.when(some, F.substring(F.array_join(terms, "; "), 1, 300)).when(untitled, ""),
+    }
+    if "elim_category" in rows.columns:
+        old = lambda c: F.col(c) if c in rows.columns else F.lit(None).cast("string")
+        made = {c: F.when(F.col("elim_category").isNotNull(), old(c)).otherwise(v) for c, v in made.items()}
+    return rows.withColumns(made).drop("__ranked")
 
 
 def histogram(rows: DataFrame) -> DataFrame:
-    """How often each label hit, several times in one row included."""
-    return rows.select(F.explode("hits.label").alias("label")).groupBy("label").agg(F.count("*").alias("hits"))
+    """How often each label hit, several times in one row included, most first."""
+    return rows.select(F.explode("hits.label").alias("label")).groupBy("label").agg(F.count("*").alias("hits")).orderBy(F.desc("hits"), "label")

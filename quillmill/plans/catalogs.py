@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quillmill.functions import ids as I
 from quillmill.functions import textnorm as X
 from quillmill.operators import dedup, enrich, membership
-from quillmill.plans.base import CATALOG_SQL, CHECK_SQL, ORACLE, catalog, query, table
+from quillmill.plans.base import CATALOG_SQL, CHECK_SQL, catalog, query, table
 
 _VALID = f"(regexp_full_match(isbn13, '[0-9]{{13}}') AND {CHECK_SQL.format(x='isbn13')} = CAST(substr(isbn13, 13, 1) AS INT))"
 
@@ -111,10 +111,10 @@ def safe_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {CATALOG_SQL} SELECT isbn13 AS ISBN, 'yes' AS Screened, p.p_name AS Title,
   CASE WHEN p_size % 3 = 0 THEN p_type WHEN p_size % 3 = 1 THEN p_brand ELSE p_type || '; ' || p_brand END AS Genre,
   CASE WHEN p_size % 2 = 0 THEN p_brand ELSE p_type END AS Publisher, CASE WHEN p_size % 2 = 0 THEN 'record' ELSE 'isbn_prefix' END AS Publisher_Source, CAST(p_size AS VARCHAR) AS Pages
-  FROM catalog JOIN part p USING (p_partkey) WHERE input_pos % 4 = 0""")
+  FROM catalog JOIN part p USING (p_partkey) WHERE {_VALID} QUALIFY row_number() OVER (PARTITION BY substr(isbn13, 1, 12) ORDER BY title = '', input_pos) = 1""")
 def tidy_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """On the first row of each part, as its SQL has it; tidy_projection_kept takes the rows that deduplication keeps."""
-    return _tidied(spark, sf_dir, catalog(spark, sf_dir).where("input_pos % 4 = 0"))
+    """The rows that deduplication keeps."""
+    return _tidied(spark, sf_dir, dedup.mark_duplicates(catalog(spark, sf_dir)).where("elim_category is null"))
 
 
 def _tidied(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
@@ -129,14 +129,6 @@ def _tidied(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
     return dedup.insert_columns(dedup.tidy(rows), 1, {"Screened": F.lit("yes")}).select("ISBN", "Screened", "Title", "Genre", "Publisher", "Publisher_Source", "Pages")
 
 
-_KEPT = f"WHERE {_VALID} QUALIFY row_number() OVER (PARTITION BY substr(isbn13, 1, 12) ORDER BY title = '', input_pos) = 1"
-
-
-@query(ORACLE["tidy_projection"].replace("WHERE input_pos % 4 = 0", _KEPT))
-def tidy_projection_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tidied(spark, sf_dir, dedup.mark_duplicates(catalog(spark, sf_dir)).where("elim_category is null"))
-
-
 @query("""WITH r AS (SELECT n_regionkey AS k, arg_max(n_name, n_nationkey) AS last_name FROM nation WHERE n_regionkey <> 2 GROUP BY n_regionkey)
   SELECT n_nationkey, coalesce(last_name, '') AS last_name, coalesce(last_name, 'not known') AS with_default FROM nation LEFT JOIN r ON n_regionkey = k""")
 def lookup_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,11 +223,10 @@ def full_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", enrich.full_view_id(F.when(k % 3 == 0, "full").otherwise("noview"), url).alias("identifier"))
 
 
-@query(f"""WITH x AS (SELECT 'id' || l_orderkey AS identifier, {_ISBN.format(k="l_partkey")} AS isbn FROM lineitem WHERE l_orderkey % 4 = 0)
+@query(f"""WITH x AS (SELECT 'id' || l_orderkey AS identifier, {_ISBN.format(k="l_partkey")} AS isbn FROM lineitem)
   SELECT isbn, array_to_string(list_sort(list(DISTINCT identifier)), ',') AS ids FROM x GROUP BY isbn""")
 def bulk_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """On one order in four, as its SQL has it; bulk_index_whole takes all."""
-    return _indexed(table(spark, sf_dir, "lineitem").where("l_orderkey % 4 = 0"))
+    return _indexed(table(spark, sf_dir, "lineitem"))
 
 
 def _indexed(lines: DataFrame) -> DataFrame:
@@ -245,11 +236,6 @@ def _indexed(lines: DataFrame) -> DataFrame:
     return enrich.bulk_index(items.select(F.concat(F.lit("id"), F.col("l_orderkey").cast("string")).alias("identifier"), "isbns")).select("isbn", F.array_join("ids", ",").alias("ids"))
 
 
-@query(ORACLE["bulk_index"].replace(" WHERE l_orderkey % 4 = 0", ""))
-def bulk_index_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _indexed(table(spark, sf_dir, "lineitem"))
-
-
 @query("""SELECT event_id, CASE WHEN event_id % 5 = 0 THEN false WHEN event_id % 5 < 3 THEN true WHEN event_id % 5 = 3 THEN true ELSE false END AS open,
   CASE event_id % 5 WHEN 0 THEN 'archive.org copy is lending-only' WHEN 1 THEN 'https://creativecommons.org/licenses/by/' || event_id WHEN 2 THEN 'x https://creativecommons.org/publicdomain/' WHEN 3 THEN 'public domain (archive.org: NOT_IN_COPYRIGHT)' ELSE 'archive.org copy has no open licence' END AS why FROM events""")
 def licence_gate(spark: SparkSession, sf_dir: str) -> DataFrame:

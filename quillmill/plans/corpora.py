@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillmill.functions import ids as I
 from quillmill.functions import textnorm as X
-from quillmill.operators import lid, lines, records
-from quillmill.plans.base import ORACLE, query, table
+from quillmill.operators import audit, lid, lines, records
+from quillmill.plans.base import CHECK_SQL, query, table
 
 _TAG = r"</?[A-Za-z][A-Za-z0-9]*(?:\s[^<>]*)?/?>"
 _STRIPPED = rf"""stripped AS (SELECT page_id, replace(replace(replace(replace(replace(replace(replace(replace(replace(
@@ -49,11 +50,10 @@ def fold_latin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", X.fold_latin(F.col("text")).alias("folded"))
 
 
-@query(f"""WITH t AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'ışık ' || substr(text, 1, 200) WHEN doc_id % 3 = 1 THEN 'ýþýk Ð ' || substr(text, 1, 200) ELSE 'ýş' || substr(text, 1, 200) END AS t FROM documents)
+@query(f"""WITH t AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'ışık ' || text WHEN doc_id % 3 = 1 THEN 'ýþýk Ð ' || text ELSE 'ýş' || text END AS t FROM documents)
   SELECT doc_id, CASE WHEN length(t) - length(replace(replace(t, 'ý', ''), 'þ', '')) > length(t) - length(replace(replace(t, 'ı', ''), 'ş', '')) THEN translate(t, '{"".join(X.CP1254)}', '{"".join(X.CP1254.values())}') ELSE t END AS repaired FROM t""")
 def codepage_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """On heads of texts, as its SQL has it; codepage_repair_whole takes whole ones."""
-    return _codepage(spark, sf_dir, F.substring("text", 1, 200))
+    return _codepage(spark, sf_dir, F.col("text"))
 
 
 def _codepage(spark: SparkSession, sf_dir: str, body: Column) -> DataFrame:
@@ -62,19 +62,13 @@ def _codepage(spark: SparkSession, sf_dir: str, body: Column) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", X.fix_codepage(text).alias("repaired"))
 
 
-@query(ORACLE["codepage_repair"].replace("substr(text, 1, 200)", "text"))
-def codepage_repair_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _codepage(spark, sf_dir, F.col("text"))
-
-
-_DIRTY = "'Ä±Ã¼' || chr(173) || 'a' || chr(8203) || 'b' || chr(13) || chr(10) || 'c' || chr(12) || 'd' || chr(11) || 'e' || chr(9) || chr(7) || chr(13) || substr(text, 1, 300)"
+_DIRTY = "'Ä±Ã¼' || chr(173) || 'a' || chr(8203) || 'b' || chr(13) || chr(10) || 'c' || chr(12) || 'd' || chr(11) || 'e' || chr(9) || chr(7) || chr(13) || text"
 
 
 @query(f"""WITH d AS (SELECT doc_id, {_DIRTY} AS t FROM documents)
   SELECT doc_id, regexp_replace(replace(replace(replace(replace(replace(replace(replace(t, 'Ä±', 'ı'), 'Ã¼', 'ü'), chr(173), ''), chr(8203), ''), chr(12), chr(10)), chr(13) || chr(10), chr(10)), chr(13), chr(10)), '[\\x00-\\x08\\x0b\\x0e-\\x1f\\x7f]', '', 'g') AS repaired FROM d""")
 def char_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """On heads of texts, as its SQL has it; char_repair_whole takes whole ones."""
-    return _characters(spark, sf_dir, F.substring("text", 1, 300))
+    return _characters(spark, sf_dir, F.col("text"))
 
 
 def _characters(spark: SparkSession, sf_dir: str, body: Column) -> DataFrame:
@@ -82,15 +76,9 @@ def _characters(spark: SparkSession, sf_dir: str, body: Column) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", X.drop_control(X.unify_newlines(X.drop_invisible(X.fix_mojibake(dirty)))).alias("repaired"))
 
 
-@query(ORACLE["char_repair"].replace("substr(text, 1, 300)", "text"))
-def char_repair_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _characters(spark, sf_dir, F.col("text"))
-
-
-@query("""SELECT doc_id, nfc_normalize(replace(replace(substr(text, 1, 400), 'é', 'e' || chr(769)), 'ñ', 'n' || chr(771))) AS nfc FROM documents""")
+@query("""SELECT doc_id, nfc_normalize(replace(replace(text, 'é', 'e' || chr(769)), 'ñ', 'n' || chr(771))) AS nfc FROM documents""")
 def nfc_normal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """On heads of texts, as its SQL has it; nfc_normal_whole takes whole ones."""
-    return _composed(spark, sf_dir, F.substring("text", 1, 400))
+    return _composed(spark, sf_dir, F.col("text"))
 
 
 def _composed(spark: SparkSession, sf_dir: str, body: Column) -> DataFrame:
@@ -98,11 +86,6 @@ def _composed(spark: SparkSession, sf_dir: str, body: Column) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", X.nfc(split).alias("nfc"))
 
 
-@query(ORACLE["nfc_normal"].replace("substr(text, 1, 400)", "text"))
-def nfc_normal_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _composed(spark, sf_dir, F.col("text"))
-
-
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
@@ -162,9 +145,8 @@ _PARAS = f"""{_BLOCKS}, {_KEPT}, med AS (SELECT doc_id, 0.6::DOUBLE * list_sort(
 
 @query(f"WITH {_PARAS} SELECT doc_id, full_width FROM med")
 def median_width(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = lines.drop_lines(lines.split_lines(_blocks(spark, sf_dir))).where("line <> ''")
-    widths = kept.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.length("line"))).alias("w"))
-    return widths.select("doc_id", (F.lit(lines.FULL_SHARE) * F.get("w", F.floor(F.size("w") / 2).cast("int"))).alias("full_width"))
+    kept = lines.drop_lines(lines.split_lines(_blocks(spark, sf_dir)))
+    return lines.full_width(kept).withColumnRenamed("full", "full_width")
 
 
 def _paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,13 +158,13 @@ def reflow_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _paragraphs(spark, sf_dir)
 
 
-_EDGE = "released under|example\\.com|the"
+_EDGE = lines.BOILERPLATE.replace("(?iuU)", "(?i)").replace("'", "''")
 
 
 @query(f"""WITH {_PARAS}, e AS (SELECT *, coalesce(sum(length(text)) OVER (PARTITION BY doc_id ORDER BY para ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(length(text)) OVER (PARTITION BY doc_id) AS total FROM paras)
   SELECT doc_id, CAST(para AS BIGINT) AS para FROM e WHERE NOT ((before < 0.1::DOUBLE * total OR before > 0.97::DOUBLE * total) AND length(text) < 800 AND regexp_matches(text, '{_EDGE}'))""")
 def edge_boilerplate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.drop_boilerplate(_paragraphs(spark, sf_dir), _EDGE).select("doc_id", "para")
+    return lines.drop_boilerplate(_paragraphs(spark, sf_dir)).select("doc_id", "para")
 
 
 @query("""SELECT doc_id, '<doc>' || chr(10) || '<metadata>' || chr(10) || '<title>Ta b' || doc_id || '</title>' || chr(10) || '<author>' || source || '</author>' || chr(10) || '<isbn>' || doc_id || '</isbn>' || chr(10) || '<language>' || 'xx' || '</language>' ||
@@ -193,10 +175,9 @@ def doc_wrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", records.wrap_record(F.col("text"), F.concat(F.lit(" T<a> b"), k), F.col("source"), k, "xx", extra).alias("record"))
 
 
-@query("""SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'i' || doc_id WHEN 1 THEN 'j' || doc_id END AS isbn, CASE doc_id % 3 WHEN 1 THEN 'cc' END AS license, text AS body FROM documents WHERE NOT contains(text, chr(10) || chr(10))""")
+@query("""SELECT doc_id, CASE WHEN text IS NULL THEN NULL WHEN doc_id % 3 = 0 THEN 'i' || doc_id WHEN doc_id % 3 = 1 THEN 'j' || doc_id END AS isbn, CASE WHEN text IS NOT NULL AND doc_id % 3 = 1 THEN 'cc' END AS license, text AS body FROM documents""")
 def record_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """On texts without a blank line, as its SQL has it; record_split_whole takes all."""
-    return _split(table(spark, sf_dir, "documents").where(~F.contains("text", F.lit("\n\n"))))
+    return _split(table(spark, sf_dir, "documents"))
 
 
 def _split(docs: DataFrame) -> DataFrame:
@@ -209,25 +190,21 @@ def _split(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", records.split_record(raw).alias("r")).select("doc_id", F.try_element_at("r.meta", F.lit("isbn")).alias("isbn"), F.try_element_at("r.meta", F.lit("license")).alias("license"), "r.body")
 
 
-@query("""SELECT doc_id, CASE WHEN text IS NULL THEN NULL WHEN doc_id % 3 = 0 THEN 'i' || doc_id WHEN doc_id % 3 = 1 THEN 'j' || doc_id END AS isbn, CASE WHEN text IS NOT NULL AND doc_id % 3 = 1 THEN 'cc' END AS license, text AS body FROM documents""")
-def record_split_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _split(table(spark, sf_dir, "documents"))
-
-
 @query("""WITH p AS (SELECT doc_id, source || '/' || doc_id // 3 AS path FROM documents) SELECT doc_id, path, CASE WHEN f <> doc_id THEN f END AS kept FROM (SELECT *, min(doc_id) OVER (PARTITION BY path) AS f FROM p)""")
 def one_copy_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.concat_ws("/", "source", F.floor(F.col("doc_id") / 3).cast("string")).alias("path"))
     return records.one_copy(docs.withColumn("n", F.col("doc_id")), "path", "n", "doc_id").select("doc_id", "path", "kept")
 
 
-_LONG = r"""long_doc AS (SELECT lang, trim(regexp_replace(string_agg(text, ' ' ORDER BY doc_id), '\s+', ' ', 'g'), ' ') AS t FROM documents GROUP BY lang UNION ALL SELECT 'doc' || doc_id, trim(regexp_replace(text, '\s+', ' ', 'g'), ' ') FROM documents),
-  plan AS (SELECT lang AS doc_id, t, CASE WHEN length(t) <= 36000 THEN (length(t) + 1499) // 1500 ELSE 24 END AS n, CASE WHEN length(t) <= 36000 THEN 1500 ELSE (length(t) - 1500) // 23 END AS step FROM long_doc)"""
+#: All texts, and those of 1,000 to 1,500 characters forty times over, which are long enough to be sampled.
+_LONG = r"""long_doc AS (SELECT 'long' || doc_id AS id, trim(regexp_replace(repeat(text || ' ', 40), '\s+', ' ', 'g'), ' ') AS t FROM documents WHERE length(text) BETWEEN 1000 AND 1500 UNION ALL SELECT 'doc' || doc_id, trim(regexp_replace(text, '\s+', ' ', 'g'), ' ') FROM documents),
+  plan AS (SELECT id AS doc_id, t, CASE WHEN length(t) <= 36000 THEN (length(t) + 1499) // 1500 ELSE 24 END AS n, CASE WHEN length(t) <= 36000 THEN 1500 ELSE (length(t) - 1500) // 23 END AS step FROM long_doc)"""
 
 
 @query(f"WITH {_LONG} SELECT doc_id, chunk, substr(t, chunk * step + 1, 1500) AS part FROM (SELECT *, unnest(range(0, n)) AS chunk FROM plan)")
 def lid_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    whole = docs.groupBy("lang").agg(F.array_join(F.array_sort(F.collect_list(F.struct("doc_id", "text"))).getField("text"), " ").alias("text")).select(F.col("lang").alias("doc_id"), "text")
+    whole = docs.where(F.length("text").between(1000, 1500)).select(F.concat(F.lit("long"), F.col("doc_id").cast("string")).alias("doc_id"), F.repeat(F.concat("text", F.lit(" ")), F.lit(40)).alias("text"))
     single = docs.select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("doc_id"), "text")
     return lid.chunks(whole.unionByName(single)).select("doc_id", F.col("chunk").cast("long"), "part")
 
@@ -253,9 +230,9 @@ def lang_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lid.audit(docs, lid.vote(_labelled(spark, sf_dir)), "en").select("doc_id", "decision")
 
 
-@query("""SELECT doc_id FROM documents WHERE length(trim(text, ' ' || chr(10))) >= 500""")
+@query(r"""SELECT doc_id FROM documents WHERE length(regexp_replace(text, '^\s+|\s+$', '', 'g')) >= 500""")
 def min_length_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").where(F.length(F.btrim("text", F.lit(" \n"))) >= 500).select("doc_id")
+    return table(spark, sf_dir, "documents").where(audit.long_enough(F.col("text"))).select("doc_id")
 
 
 @query()
@@ -265,11 +242,78 @@ def lid_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lid.audit(docs, lid.vote(lid.label(lid.chunks(docs), lid.profiles(docs))), "en")
 
 
-@query()
+#: Character repair and markup for texts that need neither re-decoding nor more than the finite map of entities.
+_FIXED = f"""doc_blocks AS (SELECT doc_id, replace(replace(replace(replace(replace(replace(replace(replace(replace(CASE WHEN len(regexp_extract_all(substr(t, 1, 200000), '{_TAG}')) > 20 THEN regexp_replace(regexp_replace(t,
+    '(?i)<br\\s*/?>|</(?:p|div|h[0-9]|li|tr)>', chr(10), 'g'), '{_TAG}', ' ', 'g') ELSE t END, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''), '&nbsp;', chr(160)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') AS text
+  FROM (SELECT doc_id, regexp_replace(replace(replace(replace(translate(coalesce(text, ''), '­​‌‍‎‏⁠﻿￼', ''), chr(12), chr(10)), chr(13) || chr(10), chr(10)), chr(13), chr(10)), '[\\x00-\\x08\\x0b\\x0e-\\x1f\\x7f]', '', 'g') AS t FROM documents))"""
+_BODIES = f"""{_PARAS.replace(_BLOCKS, _FIXED)}, e AS (SELECT *, coalesce(sum(length(text)) OVER (PARTITION BY doc_id ORDER BY para ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(length(text)) OVER (PARTITION BY doc_id) AS total FROM paras),
+  bodies AS (SELECT doc_id, string_agg(text, chr(10) || chr(10) ORDER BY para) AS body FROM e WHERE text <> '' AND NOT ((before < 0.1::DOUBLE * total OR before > 0.97::DOUBLE * total) AND length(text) < 800 AND regexp_matches(text, '{_EDGE}')) GROUP BY doc_id)"""
+
+
+@query(f"WITH {_BODIES} SELECT doc_id, replace(replace(coalesce(body, ''), '</content>', ''), '</doc>', '') AS body FROM documents LEFT JOIN bodies USING (doc_id)")
 def clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.clean(_documents(spark, sf_dir))
 
 
-@query()
+_WORD = r"[\p{L}\p{M}\p{Nd}\p{Pc}]"
+
+
+@query(rf"""SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(text, chr(173), ''), '({_WORD})-\n\s*({_WORD})', '\1\2', 'g'),
+  '(?m)^\s*[0-9]{{1,4}}\s*$', '', 'g'), '[ \t]+', ' ', 'g'), ' *\n *', chr(10), 'g'), '\n{{3,}}', chr(10) || chr(10), 'g'), '^\s+', ''), '\s+$', '') || chr(10) AS text FROM documents""")
 def first_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _documents(spark, sf_dir).select("doc_id", X.first_clean(F.col("text")).alias("text"))
+
+
+#: Files made of the documents: wrapped, headed and plain ones by turns; a catalog of half of them; a ledger of a fifth.
+_CODE = "'978' || lpad(CAST(doc_id AS VARCHAR), 9, '0')"
+_FILES = f"""base AS (SELECT *, {_CODE} AS first12 FROM documents), coded AS (SELECT *, first12 || {CHECK_SQL.format(x="first12")} AS code FROM base),
+  meta AS (SELECT doc_id, 'lib/' || source || '/book' || doc_id || '.txt' AS path, CASE WHEN doc_id % 3 = 2 THEN '' ELSE code END AS isbn, doc_id % 3 <> 2 AND doc_id % 2 = 0 AS known,
+    CASE WHEN doc_id % 3 <> 2 AND doc_id % 2 = 0 THEN 'T' || doc_id WHEN doc_id % 3 = 0 THEN 'W' || doc_id WHEN doc_id % 3 = 1 THEN 'H' || doc_id ELSE 'book' || doc_id END AS title,
+    CASE WHEN doc_id % 3 <> 2 AND doc_id % 2 = 0 THEN '' WHEN doc_id % 3 = 0 THEN 'someone' ELSE source END AS author FROM coded)"""
+
+
+def _files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(path, raw, doc_id), the catalog and the ledger."""
+    k = F.col("doc_id")
+    first = F.concat(F.lit("978"), F.lpad(k.cast("string"), 9, "0"))
+    docs = table(spark, sf_dir, "documents").where("text is not null").withColumn("code", F.concat(first, I.check_digit13(first)))
+    s = k.cast("string")
+    wrapped = records.wrap_record(F.col("text"), F.concat(F.lit("W"), s), F.lit("someone"), F.col("code"), "xx")
+    raw = F.when(k % 3 == 0, wrapped).when(k % 3 == 1, F.concat(F.lit("Title: H"), s, F.lit("\nISBN: "), F.col("code"), F.lit("\n\n"), "text")).otherwise(F.col("text"))
+    files = docs.select(F.concat(F.lit("lib/"), "source", F.lit("/book"), s, F.lit(".txt")).alias("path"), raw.alias("raw"), "doc_id")
+    catalog = docs.where(k % 2 == 0).select(F.col("code").alias("ISBN"), F.concat(F.lit("T"), s).alias("Title"), F.lit("").alias("Author"))
+    return files, catalog, docs.where(k % 5 == 0).select(F.col("code").alias("key"), F.lit("completed").alias("status"))
+
+
+@query(f"WITH {_FILES} SELECT path, isbn, title, author, known FROM meta JOIN documents USING (doc_id) WHERE text IS NOT NULL")
+def metadata_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files, catalog, _ = _files(spark, sf_dir)
+    return audit.with_metadata(files.select("path", "raw"), catalog).select("path", "isbn", "title", "author", "known")
+
+
+@query(f"""WITH {_VOTES}, {_FILES}, d AS (SELECT doc_id, coalesce(max(share) FILTER (shares.lang = 'en') >= 0.5, false) AS keep FROM documents LEFT JOIN shares USING (doc_id) GROUP BY doc_id)
+  SELECT path, isbn, CASE WHEN keep THEN 'completed' ELSE 'culled' END AS status, title, author, isbn <> '' AS in_ledger FROM meta JOIN d USING (doc_id) JOIN documents USING (doc_id) WHERE text IS NOT NULL AND NOT (doc_id % 3 = 0 AND doc_id % 5 = 0)""")
+def audit_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files kept and culled, with the metadata of the record or of the culled row, and whether the ledger has them."""
+    files, catalog, done = _files(spark, sf_dir)
+    paths = files.select("doc_id", "path")
+    shares = lid.vote(_labelled(spark, sf_dir)).join(paths, "doc_id").select(F.col("path").alias("doc_id"), "lang", "share")
+    kept, culled, entries = audit.audit_files(files.select("path", "raw"), catalog, done, shares, "en")
+    own = records.split_record(F.col("record"))
+    kept = kept.withColumn("m", own.meta).select("path", "isbn", F.lit("completed").alias("status"), F.element_at("m", F.lit("title")).alias("title"), F.element_at("m", F.lit("author")).alias("author"))
+    rows = kept.unionByName(culled.select("path", "isbn", F.lit("culled").alias("status"), "title", "author"))
+    noted = entries.select("path", "status", F.lit(True).alias("noted"))
+    return rows.join(noted, ["path", "status"], "left").withColumn("in_ledger", F.coalesce("noted", F.lit(False))).drop("noted")
+
+
+@query(f"""WITH {_VOTES}, {_BODIES}, d AS (SELECT doc_id, coalesce(max(share) FILTER (shares.lang = 'en') >= 0.5, false) AS keep FROM documents LEFT JOIN shares USING (doc_id) GROUP BY doc_id),
+  r AS (SELECT doc_id AS key, source || '/' || doc_id // 4 AS path, keep, replace(replace(coalesce(body, ''), '</content>', ''), '</doc>', '') AS body FROM documents JOIN d USING (doc_id) LEFT JOIN bodies USING (doc_id)),
+  f AS (SELECT path, min(key) AS least FROM r WHERE keep AND length(body) >= 500 GROUP BY path)
+  SELECT key, path, CASE WHEN NOT keep THEN 'culled' WHEN length(body) < 500 THEN 'no usable text' ELSE 'completed' END AS status, keep AND length(body) >= 500 AND least <> key AS copy, CASE WHEN keep AND length(body) >= 500 AND least = key THEN length(body) END AS written
+  FROM r LEFT JOIN f USING (path)""")
+def download_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", F.floor(F.col("doc_id") / 4).cast("string"))
+    found = docs.select(F.col("doc_id").alias("key"), path.alias("path"), F.lit("web").alias("source"), F.col("text").alias("raw"))
+    out = audit.save_downloads(found, lid.vote(_labelled(spark, sf_dir)), "en")
+    return out.select("key", "path", "status", F.contains("detail", F.lit("one copy kept")).alias("copy"), F.length("body").cast("long").alias("written"))

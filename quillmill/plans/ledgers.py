@@ -107,11 +107,10 @@ def candidates_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT l_orderkey AS key, arg_min('r' || l_partkey, l_linenumber * 10000000 + l_partkey) FILTER (l_returnflag = 'R') AS ref,
-  CASE WHEN count(*) FILTER (l_returnflag = 'R') > 0 THEN 'saved' ELSE coalesce(arg_max('no ' || l_partkey, l_linenumber * 10000000 + l_partkey) FILTER (l_returnflag = 'A'), 'none') END AS reason FROM lineitem WHERE l_returnflag <> 'N' OR l_linenumber = 1 GROUP BY l_orderkey""")
+  CASE WHEN count(*) FILTER (l_returnflag = 'R') > 0 THEN 'saved' ELSE coalesce(arg_max('no ' || l_partkey, l_linenumber * 10000000 + l_partkey) FILTER (l_returnflag = 'A'), 'none') END AS reason FROM lineitem GROUP BY l_orderkey""")
 def attempt_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     p, flag = F.col("l_partkey").cast("string"), F.col("l_returnflag")
-    lines = table(spark, sf_dir, "lineitem").where("l_returnflag <> 'N' or l_linenumber = 1")
-    tries = lines.select(F.col("l_orderkey").alias("key"), F.when(flag != "N", F.col("l_linenumber") * 10_000_000 + F.col("l_partkey")).alias("pos"), (flag == "R").alias("ok"), F.concat(F.lit("r"), p).alias("ref"), F.when(flag == "A", F.concat(F.lit("no "), p)).alias("reason"))
+    tries = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("key"), F.when(flag != "N", F.col("l_linenumber") * 10_000_000 + F.col("l_partkey")).alias("pos"), (flag == "R").alias("ok"), F.concat(F.lit("r"), p).alias("ref"), F.when(flag == "A", F.concat(F.lit("no "), p)).alias("reason"))
     return ledger.first_success(tries, "key", "none")
 
 

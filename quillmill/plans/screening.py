@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmill.operators import report, rules
-from quillmill.plans.base import query, table
+from quillmill.operators import report, rules, screening
+from quillmill.plans.base import CATALOG_SQL, CHECK_SQL, catalog, query, table
 
 #: Rules over part names, types and brands; what they look for has no meaning beyond these tables.
 RULES = rules.RuleSet(
@@ -109,6 +109,29 @@ def category_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.by_category(rules.resolve(_screened(spark, sf_dir), RULES))
 
 
+_RUN = f"""{CATALOG_SQL}, {_RESOLVED},
+  v AS (SELECT input_pos, isbn13, p_partkey, {CHECK_SQL.format(x="isbn13")} = CAST(substr(isbn13, 13, 1) AS INT) AS valid FROM catalog),
+  k AS (SELECT *, row_number() OVER w AS rn, first_value(isbn13) OVER w AS keeper FROM v WINDOW w AS (PARTITION BY substr(isbn13, 1, 12) ORDER BY NOT valid, input_pos)),
+  run AS (SELECT input_pos, isbn13, CASE WHEN rn > 1 THEN 'duplicate' WHEN NOT valid THEN 'invalid_isbn' ELSE elim_category END AS elim_category, CASE WHEN rn > 1 OR NOT valid THEN 'n/a' ELSE confidence END AS confidence,
+    CASE WHEN rn > 1 AND keeper = isbn13 THEN 'Duplicate ISBN' WHEN rn > 1 THEN 'Duplicate of ISBN ' || keeper || ': same first 12 digits, this copy has a wrong check digit'
+      WHEN NOT valid THEN 'Invalid ISBN-13 check digit (expected ' || {CHECK_SQL.format(x="isbn13")} || ')' ELSE elim_reason END AS elim_reason,
+    CASE WHEN rn > 1 OR NOT valid THEN '' ELSE matched_terms END AS matched_terms FROM k JOIN resolved USING (p_partkey))"""
+
+
+def _run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = catalog(spark, sf_dir).drop("title").join(_rows(spark, sf_dir), "p_partkey")
+    return screening.screen_catalog(rows, RULES)
+
+
+@query(f"WITH {_RUN} SELECT *, CASE WHEN elim_category IS NULL THEN 'cleaned' WHEN elim_category = 'no_metadata' THEN 'bare' ELSE 'eliminated' END AS output FROM run")
+def screening_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole chain, with the output that each row of the catalog goes to."""
+    rows = _run(spark, sf_dir).select("input_pos", "isbn13", "elim_category", "confidence", "elim_reason", "matched_terms")
+    names = ("cleaned", "eliminated", "bare")
+    cleaned, eliminated, bare = (part.withColumn("output", F.lit(name)) for part, name in zip(screening.outputs(rows), names, strict=True))
+    return cleaned.unionByName(eliminated).unionByName(bare)
+
+
 @query("""SELECT p_partkey, CASE WHEN p_size BETWEEN 10 AND 20 THEN 'inner' ELSE 'outer' END AS label, 'ab' || p_size || '.5 x' AS matched FROM part WHERE p_size < 40""")
 def range_class_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = F.concat(F.lit(" ab"), F.col("p_size").cast("string"), F.lit(".5 x"))
