@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ from quillmill.functions import textnorm as X
 CHUNKS, CHUNK_CHARS, MIN_LETTERS = 24, 1500, 100
 #: Trigrams kept of each language's profile, the most frequent.
 PROFILE = 800
+#: Languages that are told apart at most.
+LANGUAGES = 250
 
 
 def chunks(docs: DataFrame) -> DataFrame:
@@ -32,10 +35,10 @@ def _trigrams(characters: Column) -> Column:
     return F.transform(F.slice(characters, 1, F.greatest(F.size(characters) - 2, F.lit(0))), lambda c, i: F.concat(c, F.get(characters, i + 1), F.get(characters, i + 2)))
 
 
-def profiles(docs: DataFrame) -> dict[str, dict[str, float]]:
+def profiles(docs: DataFrame, languages: int = LANGUAGES) -> dict[str, dict[str, float]]:
     """Log probabilities of each language's most frequent trigrams, and under "" that of any other.
 
-    Counted over all rows; what comes to the driver is PROFILE rows for each language.
+    Counted over all rows; what comes to the driver is PROFILE rows for each of the languages with most text.
     """
     padded = F.concat(F.lit(" "), F.lower("text"), F.lit(" "))
     rows = docs.where("text is not null and lang is not null and length(text) > 0").select("lang", F.split(padded, "").alias("c"))
@@ -43,29 +46,45 @@ def profiles(docs: DataFrame) -> dict[str, dict[str, float]]:
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "g"))
     total = F.sum("n").over(Window.partitionBy("lang"))
     out: dict[str, dict[str, float]] = {}
-    for r in counted.withColumns({"rank": rank, "total": total}).where(F.col("rank") <= PROFILE).collect():
+    own = counted.withColumns({"rank": rank, "total": total}).where(F.col("rank") <= PROFILE)
+    for r in own.orderBy(F.desc("total"), "lang", "rank").limit(languages * PROFILE).collect():
         out.setdefault(r.lang, {"": math.log(0.5 / r.total)})[r.g] = math.log(r.n / r.total)
     return out
 
 
+def _code(gram: str) -> int:
+    a, b, c = map(ord, gram)
+    return a << 42 | b << 21 | c
+
+
 def label(parts: DataFrame, known: dict[str, dict[str, float]]) -> DataFrame:
     """Adds lang and prob to (.., part): the likeliest language and its share; und and 0 where there is nothing to tell."""
     langs = sorted(known)
-    shared = parts.sparkSession.sparkContext.broadcast(known)
+    grams = np.array(sorted({_code(g) for x in langs for g in known[x] if g}), np.int64)
+    place = {c: i for i, c in enumerate(grams.tolist())}
+    weights = np.array([[known[x][""]] * (len(grams) + 1) for x in langs]).reshape(len(langs), len(grams) + 1)  # the last column is any other trigram
+    for i, x in enumerate(langs):
+        for g, w in known[x].items():
+            if g:
+                weights[i, place[_code(g)]] = w
+    shared = parts.sparkSession.sparkContext.broadcast((grams, weights))
 
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        grams, weights = shared.value
         for batch in batches:
-            rows = []
-            for text in batch:
-                t = f" {(text or '').lower()} "
-                grams = [t[i : i + 3] for i in range(len(t) - 2)]
-                if not grams or not langs or not (text or "").strip():
-                    rows.append(("und", 0.0))
-                    continue
-                sums = [sum(p.get(g, p[""]) for g in grams) / len(grams) for p in (shared.value[x] for x in langs)]
-                top = max(sums)
-                rows.append((langs[sums.index(top)], 1 / sum(math.exp(min(0.0, s - top) * 20) for s in sums)))
-            yield pd.DataFrame(rows, columns=["lang", "prob"])
+            texts = [f" {(t or '').lower()} " if (t or "").strip() else "" for t in batch]
+            size = np.array([len(t) for t in texts])
+            points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+            n = np.maximum(size - 2, 0)
+            at = np.repeat(np.cumsum(size) - size, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            code = (points[at] << 42) | (points[at + 1] << 21) | points[at + 2] if len(at) else np.zeros(0, np.int64)
+            near = np.minimum(np.searchsorted(grams, code), max(len(grams) - 1, 0))
+            column = np.where(grams[near] == code, near, len(grams)) if len(grams) else np.zeros(len(code), np.int64)
+            doc, some = np.repeat(np.arange(len(texts)), n), (n > 0) & (len(weights) > 0)
+            means = np.array([np.bincount(doc, w[column], len(texts)) for w in weights]).reshape(len(weights), len(texts)) / np.maximum(n, 1)
+            top = means.argmax(0) if len(weights) else np.zeros(len(texts), int)
+            share = 1 / np.exp(np.minimum(0.0, means - means.max(0)) * 20).sum(0) if len(weights) else np.zeros(len(texts))
+            yield pd.DataFrame({"lang": [langs[i] if good else "und" for i, good in zip(top, some, strict=True)], "prob": np.where(some, share, 0.0)})
 
     return parts.withColumn("__l", F.pandas_udf(score, "lang string, prob double")("part")).withColumns({"lang": F.col("__l.lang"), "prob": F.col("__l.prob")}).drop("__l")
 

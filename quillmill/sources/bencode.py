@@ -13,6 +13,7 @@ from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 READ_BYTES = 1 << 20
@@ -40,6 +41,14 @@ def directory(f: BinaryIO) -> dict[str, tuple[int, int]]:
     return found
 
 
+def opened(path: str) -> BinaryIO:
+    """A seekable file of the local disk or of any store that Arrow knows by its URI (hdfs, s3, gs, ...)."""
+    if path.startswith("file:") or "://" not in path:
+        return open(path.removeprefix("file:").replace("//", "/", 1) if path.startswith("file:") else path, "rb")
+    store, name = fs.FileSystem.from_uri(path)
+    return store.open_input_file(name)
+
+
 @dataclass
 class Range(InputPartition):
     catalog: str
@@ -50,15 +59,15 @@ class Range(InputPartition):
 
 class BitmapReader(DataSourceReader):
     def __init__(self, options: dict):
-        self.path = options["path"].removeprefix("file://")
+        self.path = options["path"]
         self.wanted = {c.strip() for c in options.get("catalogs", "").split(",") if c.strip()}
 
     def partitions(self) -> list[Range]:
-        with open(self.path, "rb") as f:
+        with opened(self.path) as f:
             return [Range(name, i, at, size) for i, (name, (at, size)) in enumerate(directory(f).items()) if not self.wanted or name in self.wanted]
 
     def read(self, part: Range) -> Iterator[pa.RecordBatch]:
-        with open(self.path, "rb") as f:
+        with opened(self.path) as f:
             f.seek(part.offset)
             left, pos = part.size - part.size % 4, 0
             while left:

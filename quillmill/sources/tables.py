@@ -21,8 +21,10 @@ def read_catalog(spark: SparkSession, path: str, columns: list[str] | None = Non
     return (rows.select(*(f"`{c}`" for c in columns)) if columns else rows).na.fill("")
 
 
-def write_catalog(rows: DataFrame, path: str, compressed: bool = False, mode: str = "error") -> None:
-    """CSV with a header and minimal quoting; a folder of part files."""
+def write_catalog(rows: DataFrame, path: str, compressed: bool = False, mode: str = "error", bom: bool = False) -> None:
+    """CSV with a header and minimal quoting; a folder of part files, each with a byte order mark if asked for."""
+    if bom:
+        rows = rows.toDF(*("\ufeff" * (i == 0) + c for i, c in enumerate(rows.columns)))
     writer = rows.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "")
     (writer.option("compression", "gzip") if compressed else writer).csv(path)
 
@@ -32,18 +34,30 @@ def append_catalog(rows: DataFrame, path: str, columns: list[str]) -> None:
     write_catalog(rows.select(*(f"`{c}`" for c in columns)), path, mode="append")
 
 
+def _versions(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder, of any file system that Spark knows; none if it is not there."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+
+
 def read_cache(spark: SparkSession, path: str, meta: str) -> DataFrame:
     """JSON lines {"isbn", "meta"}: the last line of a key wins; a null meta is a known miss.
 
-    Lines are ordered by file name and place within it, which appending keeps ascending.
+    Lines are ordered by the number of the append that wrote them, then by file name and place within the file. Files
+    that lie in the folder itself come before all appends.
     """
-    lines = spark.read.schema(f"isbn string, meta struct<{meta}>").json(path)
-    placed = lines.withColumns({"__file": F.col("_metadata.file_modification_time"), "__name": F.col("_metadata.file_path"), "__start": F.monotonically_increasing_id()})
-    return placed.groupBy("isbn").agg(F.max_by(F.struct("meta"), F.struct("__file", "__name", "__start")).alias("m")).select("isbn", F.col("m.meta").alias("meta"))
+    schema = f"isbn string, meta struct<{meta}>, batch long"
+    lines = spark.read.schema(schema).option("recursiveFileLookup", True).json(path)
+    number = F.regexp_extract(F.col("_metadata.file_path"), r"/batch=(\d+)/[^/]*$", 1).try_cast("long")
+    placed = lines.select("isbn", "meta", F.coalesce(number, F.lit(-1)).alias("__batch"), F.col("_metadata.file_name").alias("__name"), F.monotonically_increasing_id().alias("__start"))
+    return placed.groupBy("isbn").agg(F.max_by(F.struct("meta"), F.struct("__batch", "__name", "__start")).alias("m")).select("isbn", F.col("m.meta").alias("meta"))
 
 
 def append_cache(rows: DataFrame, path: str) -> None:
-    rows.select("isbn", "meta").write.mode("append").option("ignoreNullFields", False).json(path)
+    """One numbered folder for each append; of two at once, one fails instead of mixing with the other."""
+    numbers = [int(n.removeprefix("batch=")) for n in _versions(rows.sparkSession, path) if n.startswith("batch=")]
+    rows.select("isbn", "meta").write.mode("error").option("ignoreNullFields", False).json(f"{path.rstrip('/')}/batch={max(numbers, default=-1) + 1:08d}")
 
 
 def write_snapshot(rows: DataFrame, folder: str) -> str:

@@ -120,6 +120,9 @@ def test_catalog_files(spark, tmp_path):
     assert rows.columns == ["isbn13", "title", "note"] and sorted(map(tuple, rows.collect())) == [("1", 'a "q"\nb', "NA"), ("2", "", "")]
     tables.write_catalog(rows, str(tmp_path / "out"), compressed=True)
     assert sorted(map(tuple, tables.read_catalog(spark, str(tmp_path / "out"), ["title"]).collect())) == [("",), ('a "q"\nb',)]
+    tables.write_catalog(rows, str(tmp_path / "marked"), bom=True)
+    assert all(f.read_bytes().startswith(b"\xef\xbb\xbfisbn13,") for f in (tmp_path / "marked").glob("part-*.csv"))
+    assert tables.read_catalog(spark, str(tmp_path / "marked")).columns == rows.columns
     tables.append_catalog(rows, str(tmp_path / "more"), ["isbn13"])
     tables.append_catalog(rows, str(tmp_path / "more"), ["isbn13"])
     assert tables.read_catalog(spark, str(tmp_path / "more")).count() == 4
@@ -130,11 +133,11 @@ def test_cache_and_snapshots(spark, tmp_path):
     for title in ("old", None):
         rows = spark.createDataFrame([("1", (title,) if title else None), ("2", ("x",))], f"isbn string, meta struct<{meta}>")
         tables.append_cache(rows, str(tmp_path / "cache"))
-        import time
-
-        time.sleep(1.1)
     got = {r.isbn: r.meta for r in tables.read_cache(spark, str(tmp_path / "cache"), meta).collect()}
     assert got["1"] is None and got["2"].title == "x"
+    (tmp_path / "cache" / "older.json").write_text('{"isbn":"1","meta":{"title":"oldest"}}\n{"isbn":"3","meta":{"title":"a"}}\n{"isbn":"3","meta":{"title":"b"}}\n')
+    got = {r.isbn: r.meta for r in tables.read_cache(spark, str(tmp_path / "cache"), meta).collect()}
+    assert got["1"] is None and got["3"].title == "b"
     for n in (1, 2):
         tables.write_snapshot(spark.range(n), str(tmp_path / "snap"))
     assert tables.read_snapshot(spark, str(tmp_path / "snap")).count() == 2
@@ -159,7 +162,8 @@ def test_bencoded_bitmaps(spark, tmp_path):
     body = b"".join(f"{len(k)}:{k}".encode() + f"{4 * len(v)}:".encode() + struct.pack(f"<{len(v)}I", *v) for k, v in parts.items())
     (tmp_path / "codes.benc").write_bytes(b"d" + body + b"e")
     spark.dataSource.register(bencode.BitmapSource)
-    read = lambda **o: sorted(map(tuple, spark.read.format("bencoded_bitmaps").options(**o).load(str(tmp_path / "codes.benc")).collect()))
+    read = lambda path=f"{tmp_path}/codes.benc", **o: sorted(map(tuple, spark.read.format("bencoded_bitmaps").options(**o).load(str(path)).collect()))
+    assert read(f"file://{tmp_path}/codes.benc") == read(f"file:{tmp_path}/codes.benc") == read()
     assert read() == [("md5", 0, 0, 3), ("md5", 0, 1, 4), ("md5", 0, 2, 5), ("north", 1, 0, 1)] and read(catalogs="north") == [("north", 1, 0, 1)]
 
 
