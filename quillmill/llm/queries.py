@@ -33,7 +33,8 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.quality_rules(read_table(spark, sf_dir, "documents"))
+    rows = quality_rules.quality_rules(read_table(spark, sf_dir, "documents"))
+    return rows.withColumns({c: F.round(c, 6) for c in ("class_distance", "word_distance")})
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,7 +94,33 @@ def shingles_sql(table: str, key: str) -> str:
     return f"SELECT {key}, {_SHINGLES} AS s FROM (SELECT {key}, {words} AS w FROM {table})"
 
 
+#: Half the sum of p log2(p / m) and q log2(q / m) over rows (p, q), as a distance.
+_JS = "sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2))"
+_QUALITY = f"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS text, {_WORDS.format(text="coalesce(text, '')")} AS w FROM documents),
+     g AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
+     r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS times FROM g) WHERE times > 1),
+     rw AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM r, (SELECT unnest(range(0, 5)) AS j) GROUP BY doc_id),
+     l AS (SELECT *, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines, length(text) AS chars, length(regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g')) AS solid,
+       length(regexp_replace(text, '[^a-z]', '', 'g')) AS lower, length(regexp_replace(text, '[^A-Z]', '', 'g')) AS upper, length(regexp_replace(text, '[^0-9]', '', 'g')) AS digit, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS symbol FROM d),
+     f AS (SELECT doc_id, lang, w, len(w) AS n_words, solid AS word_chars, symbol AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+       len(w) < 10 OR 100 * coalesce(n, 0) > 20 * len(w) AS base_failed, [lower, upper, digit, chars - solid, symbol, solid - lower - upper - digit - symbol] AS classes FROM l LEFT JOIN rw USING (doc_id)),
+     cnt AS (SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(w) AS word FROM d) GROUP BY ALL),
+     tot AS (SELECT lang, sum(n) AS total FROM cnt GROUP BY lang HAVING sum(n) >= {quality_rules.MIN_REFERENCE}),
+     com AS (SELECT lang, word, n / total AS q FROM cnt JOIN tot USING (lang) WHERE n >= {quality_rules.COMMON}::DOUBLE * total),
+     judged AS (SELECT f.* FROM f JOIN tot USING (lang) WHERE NOT base_failed AND n_words >= {quality_rules.MIN_WORDS}),
+     dc AS (SELECT doc_id, word, count(*) AS c FROM (SELECT doc_id, unnest(w) AS word FROM judged) GROUP BY ALL),
+     pq AS (SELECT doc_id, coalesce(c, 0) / n_words AS p, q FROM judged JOIN com USING (lang) LEFT JOIN dc USING (doc_id, word)),
+     rest AS (SELECT doc_id, greatest(0, 1 - coalesce(sum(p), 0)) AS p, greatest(0, 1 - coalesce(sum(q), 0)) AS q FROM judged LEFT JOIN pq USING (doc_id) GROUP BY doc_id),
+     wd AS (SELECT doc_id, {_JS} AS word_distance FROM (SELECT * FROM pq UNION ALL SELECT * FROM rest) GROUP BY doc_id),
+     cl AS (SELECT doc_id, lang, unnest(classes) AS v, unnest(range(0, 6)) AS k FROM f),
+     ref AS (SELECT lang, k, sum(v) / sum(sum(v)) OVER (PARTITION BY lang) AS q FROM cl GROUP BY lang, k),
+     cd AS (SELECT doc_id, {_JS} AS class_distance FROM (SELECT doc_id, v / sum(v) OVER (PARTITION BY doc_id) AS p, q FROM cl JOIN judged USING (doc_id) JOIN ref ON ref.lang = cl.lang AND ref.k = cl.k) GROUP BY doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce(class_distance > {quality_rules.CLASS_LIMIT}::DOUBLE OR word_distance > {quality_rules.WORD_LIMIT}::DOUBLE, false) AS kept,
+  round(class_distance, 6) AS class_distance, round(word_distance, 6) AS word_distance FROM f LEFT JOIN wd USING (doc_id) LEFT JOIN cd USING (doc_id)"""
+
 ORACLE = {
+    "op5_quality_rules": _QUALITY,
     "op1_substring_dedup": f"""
 WITH d AS (SELECT doc_id, {_WORDS.format(text="coalesce(text, '')")} AS w FROM documents),
      x AS (SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d)),
