@@ -27,7 +27,6 @@ BROADCAST_LANGUAGES = 1000
 BLANKS = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 CLASSES = ("lower", "upper", "digit", "blank", "symbol", "other")
-_ASCII_LOWER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
 
 
 def let(value: Column, then) -> Column:
@@ -36,7 +35,8 @@ def let(value: Column, then) -> Column:
 
 
 def without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
+    """text without the characters of a class; translate would look every character up in a map."""
+    return F.regexp_replace(text, f"[{characters}]++", "")
 
 
 def words_of(text: Column) -> Column:
@@ -60,25 +60,30 @@ def repeat_words(words: Column, k: int = 5) -> Column:
 
         return F.when(F.size(F.array_distinct(grams)) == F.size(grams), F.lit(0)).otherwise(let(let(ranked, twice), length))
 
-    grams = F.transform(F.sequence(F.lit(0), F.size(words) - k), lambda i: F.xxhash64(*(F.get(words, i + d) for d in range(k))))
-    return F.when(F.size(words) < k, F.lit(0)).otherwise(let(grams, covered)).cast("long")
+    def grams(hashes: Column) -> Column:
+        return F.transform(F.slice(hashes, 1, F.size(hashes) - k + 1), lambda h, i: F.xxhash64(h, *(F.get(hashes, i + d) for d in range(1, k))))
+
+    hashed = F.transform(words, lambda w: F.xxhash64(w))  # each word is hashed once, not once for each of its windows
+    return F.when(F.size(words) < k, F.lit(0)).otherwise(let(let(hashed, grams), covered)).cast("long")
 
 
 def base_figures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """doc_id, lang, words and the base figures, with the counts of character classes."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumns({"words": words_of(F.col("text")), "chars": F.length("text")})
-    text = F.col("text")
-    solid = F.length(without(text, BLANKS))
-    lines = F.filter(F.split(text, "\n"), lambda line: without(line, BLANKS) != "")
+    # most characters are lower-case letters: the other classes are counted in what is left without them
+    rows = rows.withColumns({"words": words_of(F.col("text")), "chars": F.length("text"), "rest": without(F.col("text"), "a-z")})
+    text, rest = F.col("text"), F.col("rest")
+    left = F.length(rest)
+    solid = F.col("chars") - left + F.length(without(rest, BLANKS))
+    lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(f"[^{BLANKS}]"))
     rows = rows.select(
         "doc_id", "lang", "words", F.size("words").cast("long").alias("n_words"), solid.cast("long").alias("word_chars"), "chars",
-        (F.col("chars") - F.length(without(text, SYMBOLS))).cast("long").alias("n_symbols"),
+        (left - F.length(without(rest, SYMBOLS))).cast("long").alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
         repeat_words(F.col("words")).alias("n_repeat_words"),
-        (F.col("chars") - F.length(without(text, _ASCII_LOWER))).alias("lower"),
-        (F.col("chars") - F.length(without(text, _ASCII_LOWER.upper()))).alias("upper"),
-        (F.col("chars") - F.length(without(text, _DIGITS))).alias("digit"),
+        (F.col("chars") - left).alias("lower"),
+        (left - F.length(without(rest, "A-Z"))).alias("upper"),
+        (left - F.length(without(rest, "0-9"))).alias("digit"),
     )
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     other = F.col("word_chars") - F.col("lower") - F.col("upper") - F.col("digit") - F.col("n_symbols")
