@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmill.llm import decontaminate, jaccard_join, packing, pii, quality_classifier, quality_rules, substring_dedup, suffix_dedup, token_counts, toxicity
+from quillmill.llm import decontaminate, importance, jaccard_join, packing, pii, prefix_trie, quality_classifier, quality_rules, substring_dedup, suffix_dedup, token_counts, toxicity, warc
 from quillmill.llm.store import read_table, written
 
 
@@ -60,6 +60,18 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(read_table(spark, sf_dir, "conversations"))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_records(read_table(spark, sf_dir, "pages"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -77,6 +89,9 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_conversation_trie": op11_conversation_trie,
+    "op12_warc": op12_warc,
+    "op13_importance_resampling": op13_importance_resampling,
     "pipeline": pipeline,
 }
 
@@ -119,8 +134,51 @@ WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS text
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce(class_distance > {quality_rules.CLASS_LIMIT}::DOUBLE OR word_distance > {quality_rules.WORD_LIMIT}::DOUBLE, false) AS kept,
   round(class_distance, 6) AS class_distance, round(word_distance, 6) AS word_distance FROM f LEFT JOIN wd USING (doc_id) LEFT JOIN cd USING (doc_id)"""
 
+#: The byte table of CRC-32, and the CRC-32 of a text's UTF-8 bytes; crc.t is the table.
+_CRC_TABLE = "crc AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS t FROM (SELECT unnest(range(0, 256)) AS i))"
+_CRC = "xor(4294967295, list_reduce(list_transform(range(1, octet_length(encode({x})) + 1), lambda i: ('0x' || substr(hex(encode({x})), 2 * i - 1, 2))::BIGINT), lambda c, b: xor(crc.t[(xor(c, b) & 255) + 1], c >> 8), 4294967295::BIGINT))"
+
+_TRIE = f"""
+WITH {_CRC_TABLE},
+     v AS (SELECT conv_id, turn, {{'r': coalesce(role, ''), 't': coalesce(text, '')}} AS x FROM conversations WHERE conv_id IS NOT NULL),
+     own AS (SELECT conv_id, list(x ORDER BY turn NULLS FIRST, x) AS turns FROM v GROUP BY conv_id),
+     h AS (SELECT conv_id, turns, conv_id - conv_id % 100 AS base, {_CRC.format(x="conv_id::VARCHAR")} % 6 AS h FROM own, crc),
+     c AS (SELECT h.conv_id, coalesce(b.turns[1:h], []) || h.turns[h + 1:] AS turns FROM h LEFT JOIN own b ON b.conv_id = h.base),
+     p AS (SELECT conv_id, size, depth, turns[1:depth] AS path, CASE WHEN depth = 0 THEN 0 ELSE length(turns[depth].t) END AS chars FROM (SELECT conv_id, len(turns) AS size, unnest(range(0, len(turns) + 1)) AS depth, turns FROM c)),
+     n AS (SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (size = depth), '') AS ends, (count(*) - 1) * max(chars) AS own_saved FROM p GROUP BY path, depth),
+     k AS (SELECT path[1:depth - 1] AS over, depth - 1 AS over_depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+     f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k ON over = path AND over_depth = depth),
+     up AS (SELECT path[1:d] AS path, d AS depth, own_saved, n_children = 0 AS leaf FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM f)),
+     s AS (SELECT path, depth, sum(own_saved)::BIGINT AS saved_tokens, count(*) FILTER (leaf) AS n_leaves FROM up GROUP BY ALL)
+SELECT f.conv_id, f.depth, o.conv_id AS parent_conv_id, f.n_convs, f.n_children, s.n_leaves, s.saved_tokens, sha256(f.ends) AS ends_sha256
+FROM f JOIN s ON s.path = f.path AND s.depth = f.depth LEFT JOIN f o ON f.depth > 0 AND o.depth = f.depth - 1 AND o.path = f.path[1:f.depth - 1]"""
+
+_WARC = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+     d AS (SELECT page_id, octet_length(b) AS size, sha1(b) AS h, min(page_id) OVER (PARTITION BY b) AS least FROM p),
+     e AS (SELECT *, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, i // 8 * 10 + 1, 10))::BIGINT >> (35 - i % 8 * 5)) & 31)::INT + 1, 1)), '') AS digest FROM d)
+SELECT page_id, size AS payload_bytes, digest AS payload_digest, CASE WHEN page_id IS DISTINCT FROM least AND least IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id IS DISTINCT FROM least THEN least END AS refers_to FROM e"""
+
+_RESAMPLE = f"""
+WITH {_CRC_TABLE},
+     w AS (SELECT doc_id, regexp_extract_all({_ASCII.format(text="coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+     bw AS (SELECT unnest(regexp_extract_all({_ASCII.format(text="coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+     dw AS (SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(w) AS word FROM w) GROUP BY ALL),
+     b AS (SELECT word, {_CRC.format(x="word")} % 10000 AS bucket FROM (SELECT word FROM dw UNION SELECT word FROM bw), crc),
+     s AS (SELECT bucket, sum(n) AS s FROM dw JOIN b USING (word) GROUP BY bucket), t AS (SELECT bucket, count(*) AS t FROM bw JOIN b USING (word) GROUP BY bucket),
+     tot AS (SELECT (SELECT coalesce(sum(s), 0) FROM s)::DOUBLE AS big, (SELECT coalesce(sum(t), 0) FROM t)::DOUBLE AS small),
+     g AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (big + 10000) / ((s + 1)::DOUBLE * (small + 10000))))::BIGINT AS gain FROM s LEFT JOIN t USING (bucket), tot),
+     x AS (SELECT doc_id, sum(n * gain)::BIGINT AS weight FROM dw JOIN b USING (word) JOIN g USING (bucket) GROUP BY doc_id),
+     y AS (SELECT w.doc_id, len(w) AS n_features, coalesce(weight, 0) AS weight, ('0x' || substr(sha256('2024:' || w.doc_id), 1, 8))::BIGINT AS h FROM w LEFT JOIN x USING (doc_id)),
+     z AS (SELECT doc_id, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM y),
+     r AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place, count(*) FILTER (n_features >= 20) OVER () AS n FROM z)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank FROM r"""
+
 ORACLE = {
     "op5_quality_rules": _QUALITY,
+    "op11_conversation_trie": _TRIE,
+    "op12_warc": _WARC,
+    "op13_importance_resampling": _RESAMPLE,
     "op1_substring_dedup": f"""
 WITH d AS (SELECT doc_id, {_WORDS.format(text="coalesce(text, '')")} AS w FROM documents),
      x AS (SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d)),

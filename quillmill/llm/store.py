@@ -1,7 +1,8 @@
 """Where intermediate tables go: the shared folder that spark.checkpoint.dir names.
 
 A table is deleted as soon as what reads it has been written, and the shuffle files of each write go when it ends, so
-that a run holds the tables of one step and not of all. What is left after an operator is the table that its result reads.
+that a run holds the tables of one step and not of all. What is left after an operator is the table that its result reads;
+it goes when the application ends. What a failed write has left goes at once.
 """
 
 from __future__ import annotations
@@ -51,8 +52,13 @@ def written(df: DataFrame, name: str, *done: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    with tidy(spark):
-        df.write.option("compression", "zstd").parquet(path)
+    try:
+        with tidy(spark):
+            df.write.option("compression", "zstd").parquet(path)
+    except BaseException:
+        delete_path(spark, path)
+        raise
+    delete_at_end(spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     _paths[out] = path
     delete(*done)
@@ -71,8 +77,35 @@ def delete(*tables: DataFrame) -> None:
     for table in tables:
         path = _paths.pop(table, None)
         if path:
-            root = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
-            root.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(root, True)
+            delete_path(table.sparkSession, path)
+
+
+def _located(spark: SparkSession, path: str):
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return root, root.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """A file or folder of any file system that Spark knows; nothing happens if it is not there."""
+    root, files = _located(spark, path)
+    files.delete(root, True)
+
+
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """What is still there when the application ends goes then."""
+    root, files = _located(spark, path)
+    files.deleteOnExit(root)
+
+
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    root, files = _located(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(root)] if files.exists(root) else []
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    root, files = _located(spark, path)
+    files.mkdirs(root)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
