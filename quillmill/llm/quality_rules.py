@@ -18,22 +18,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.store import written
+from quillmill.functions.expr import let
+from quillmill.llm.store import tidy, written
 
 COMMON, CLASS_LIMIT, WORD_LIMIT = 0.004, 0.27, 0.42
 MIN_WORDS, MIN_REFERENCE = 50, 2000
 #: Most languages whose references are broadcast (each at most a few hundred words); beyond, an ordinary join is used.
 BROADCAST_LANGUAGES = 1000
+#: Common words of all languages that a text's words are looked up among at once, by hash; beyond, each word is searched in its language's list.
+LOOKED_UP = 4096
 BLANKS = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 CLASSES = ("lower", "upper", "digit", "blank", "symbol", "other")
 
 
-def let(value: Column, then) -> Column:
-    """then(value), with value computed once for each row."""
-    return F.get(F.transform(F.array(value), then), F.lit(0))
-
-
 def without(text: Column, characters: str) -> Column:
     """text without the characters of a class; translate would look every character up in a map."""
     return F.regexp_replace(text, f"[{characters}]++", "")
@@ -98,7 +96,7 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     total = counted.groupBy("lang").agg(F.sum("n").alias("total")).where(F.col("total") >= MIN_REFERENCE)
     few = total.count() <= BROADCAST_LANGUAGES
     common = counted.join(F.broadcast(total) if few else total, "lang").where(F.col("n") >= COMMON * F.col("total"))
-    words = common.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("word", (F.col("n") / F.col("total")).alias("share")))).alias("w"))  # at most 1 / COMMON words each
+    words = common.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct((F.col("n") / F.col("total")).alias("share"), "word")), asc=False).alias("w"))  # at most 1 / COMMON words each, the commonest first
     words = words.select("lang", F.col("w.word").alias("ref_words"), F.concat(F.col("w.share"), F.array(1 - F.aggregate("w", F.lit(0.0), lambda a, x: a + x.share))).alias("ref_shares"))
     found = total.select("lang").join(words, "lang", "left").select("lang", F.coalesce("ref_words", F.array().cast("array<string>")).alias("ref_words"), F.coalesce("ref_shares", F.array(F.lit(1.0))).alias("ref_shares"))
     return written(found, "references", counted)
@@ -121,15 +119,20 @@ def distance(p: Column, q: Column) -> Column:
     return let(share(p), lambda a: let(share(q), lambda b: of(a, b)))
 
 
-def common_counts(words: Column, common: Column) -> Column:
-    """How often words holds each of common, and last how many words are none of them."""
+def common_counts(words: Column, common: Column, any_common: list[str] | None = None) -> Column:
+    """How often words holds each of common, and last how many words are none of them.
+
+    any_common: words that include all of common; the others need no search in it.
+    """
 
     def count(at: Column) -> Column:
-        # at holds 1 .. size(common) + 1 once besides the words' own, in order: the gap between first places of k and k + 1 is the count of k, plus one
-        gaps = F.transform(F.sequence(F.lit(1), F.size(common)), lambda k: (F.array_position(at, (k + 1).cast("bigint")) - F.array_position(at, k.cast("bigint")) - 1).cast("double"))
+        # at holds 1 .. size(common) + 1 once besides the words' own, in order: from where a number starts to where the next does is its count, plus one
+        starts = F.filter(F.transform(at, lambda p, i: F.when((i == 0) | (p != F.get(at, i - 1)), i)), lambda i: i.isNotNull())
+        gaps = let(starts, lambda s: F.transform(common, lambda w, k: (F.get(s, k + 1) - F.get(s, k) - 1).cast("double")))
         return let(gaps, lambda g: F.concat(g, F.array(F.size(words) - F.aggregate(g, F.lit(0.0), lambda a, b: a + b))))
 
-    found = F.filter(F.transform(words, lambda w: F.array_position(common, w)), lambda p: p > 0)
+    some = words if any_common is None else F.filter(words, lambda w: w.isin(any_common))
+    found = F.filter(F.transform(some, lambda w: F.array_position(common, w)), lambda p: p > 0)
     places = F.sort_array(F.concat(found, F.transform(F.sequence(F.lit(1), F.size(common) + 1), lambda k: k.cast("bigint"))))
     return F.when(F.size(common) == 0, F.array(F.size(words).cast("double"))).otherwise(let(places, count))
 
@@ -139,9 +142,12 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     reference = references(docs, text_col, lang_col)
     few = reference.count() <= BROADCAST_LANGUAGES
     small = F.broadcast if few else lambda df: df
+    with tidy(docs.sparkSession):
+        known = [r.word for r in reference.select(F.explode("ref_words").alias("word")).distinct().limit(LOOKED_UP + 1).collect()]
+    known = known if 0 < len(known) <= LOOKED_UP else None
     rows = base_figures(docs, id_col, text_col, lang_col).join(small(reference), "lang", "left")
     judged = ~F.col("base_failed") & (F.col("n_words") >= MIN_WORDS) & F.col("ref_words").isNotNull()
-    far = F.when(judged, distance(common_counts(F.col("words"), F.col("ref_words")), F.col("ref_shares")))
+    far = F.when(judged, distance(common_counts(F.col("words"), F.col("ref_words"), known), F.col("ref_shares")))
     figures = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     measured = written(rows.select("lang", *figures, "classes", far.alias("word_distance")), "figures")  # a row of numbers for each text
     sums = measured.groupBy("lang").agg(F.array(*(F.sum(F.get("classes", F.lit(i))) for i in range(len(CLASSES)))).alias("ref_classes"))
