@@ -16,7 +16,8 @@ values stay equal wherever they occur and different values of a kind stay differ
 What fails its validation is left as it is. Separators and groups stay in place.
 
 Edge cases: a null text stays null, an empty one empty; repeated rows give repeated rows; all other columns, whatever
-their names, pass through; a value of one document never depends on another's.
+their names, pass through; an empty table gives an empty one; texts of any length are read whole, with any number of
+values; a value of one document never depends on another's.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillmill.functions.expr import let
+
 ROUNDS = 8
 _MAIL = r"[\p{L}\p{N}._%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}"
 _PHONE = r"\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}(?![0-9])"
@@ -37,10 +40,6 @@ _CARD = r"(?:\d{4}([ \-]?)\d{4}\1\d{4}\1\d{1,7}|\d{13,19})(?![0-9])"
 PATTERN = r"(?<![\p{L}\p{N}._%+\-])(?:" + _MAIL + r")|(?<![\p{L}\p{N}+])" + _PHONE + r"|(?<![\p{L}\p{N}])(?<![0-9]\.)(?:(?=[0-9A-Za-f])(?:" + "|".join((_SECRET, _DATE, _SSN, _IP, _CARD)) + ")|" + _IBAN + ")"
 
 
-def let(value: Column, then) -> Column:
-    return F.get(F.transform(F.array(value), then), F.lit(0))
-
-
 def _random(key: Column, kind: str, turn: Column, value: Column) -> Column:
     return F.sha2(F.concat_ws("|", key, F.lit(kind), turn.cast("string"), value.cast("string")), 512)
 
@@ -227,6 +226,8 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: s
     hit = text.rlike(PATTERN)
     empty = F.struct(text.alias("text"), F.lit(0).cast("long").alias("n"))
     name = "__pii__"
+    while name.lower() in {c.lower() for c in [*docs.columns, count_col or ""]}:
+        name += "_"
     out = docs.withColumn(name, F.when(hit, result).otherwise(empty))
-    out = out.withColumn(text_col, F.col(f"{name}.text"))
-    return (out.withColumn(count_col, F.col(f"{name}.n")) if count_col else out).drop(name)
+    out = out.withColumn(text_col, F.col(f"`{name}`.text"))
+    return (out.withColumn(count_col, F.col(f"`{name}`.n")) if count_col else out).drop(name)

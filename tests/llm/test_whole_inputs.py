@@ -31,3 +31,29 @@ def test_components_that_have_not_settled_are_an_error(spark):
         components.components(path, rounds=1, small=0)
     for small in (0, 1000):
         assert {(r.node, r.root) for r in components.components(path, small=small).collect()} == {(i, 0) for i in range(1, 65)}
+
+
+def test_pseudonyms_leave_other_columns(spark):
+    schema = "doc_id long, text string, __pii__ string, `__PII___` int, n long"
+    out = pii.pseudonymise(spark.createDataFrame([(1, "on 2020-01-31", "mine", 7, 3), (2, None, None, None, None)], schema), "key", count_col="n_replaced")
+    assert out.columns == ["doc_id", "text", "__pii__", "__PII___", "n", "n_replaced"]
+    rows = {r[0]: r for r in out.collect()}
+    assert rows[1][2:] == ("mine", 7, 3, 1) and rows[1].text != "on 2020-01-31" and rows[2][1:] == (None, None, None, None, 0)
+    assert pii.pseudonymise(out.limit(0), "key").collect() == []
+
+
+def test_many_values_in_a_long_text(spark):
+    text = " ".join(f"2001-02-{d % 28 + 1:02d} mail{d}@example.org" for d in range(3000)) + " " + "x" * 1_000_000
+    row = pii.pseudonymise(spark.createDataFrame([(1, text)], "doc_id long, text string"), "key", count_col="n").first()
+    assert row.n >= 5990 and row.text.endswith("x" * 1000) and len(row.text) == len(text)
+
+
+def test_common_words_are_counted_by_either_route(spark):
+    from pyspark.sql import functions as F
+
+    from quillmill.llm import quality_rules
+
+    rows = spark.createDataFrame([("a b a c d a".split(), ["a", "d", "z"]), ([], ["a"]), (["q"], []), (["z", "z"], ["y", "z"])], "w array<string>, common array<string>")
+    for known in (None, ["a", "d", "y", "z", "other"]):
+        got = [r.n for r in rows.select(quality_rules.common_counts(F.col("w"), F.col("common"), known).alias("n")).collect()]
+        assert got == [[3.0, 1.0, 0.0, 2.0], [0.0, 0.0], [1.0], [0.0, 2.0, 0.0]]
