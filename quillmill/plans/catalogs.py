@@ -299,6 +299,21 @@ def interval_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return membership.members(_keys(spark, sf_dir), membership.runs_to_intervals(_runs(spark))).select("row_id", "isbn12", "catalog")
 
 
+_CROWDED = """runs AS (SELECT 'c' || l_linenumber AS catalog, l_orderkey AS pos, 1 + CAST(sum(l_partkey) AS BIGINT) % 7 AS run_len FROM lineitem GROUP BY l_linenumber, l_orderkey),
+  ends AS (SELECT catalog, pos, run_len, 978000000000 + sum(run_len) OVER (PARTITION BY catalog ORDER BY pos) AS hi FROM runs),
+  intervals AS (SELECT catalog, hi - run_len AS lo, hi FROM ends WHERE pos % 2 = 0),
+  keys AS (SELECT l_orderkey AS row_id, l_linenumber AS line, 978000000000 + (l_orderkey * 3 + l_partkey * 37) % 60000 AS isbn12 FROM lineitem)"""
+
+
+@query(f"WITH {_CROWDED} SELECT row_id, line, isbn12, catalog FROM keys JOIN intervals ON isbn12 >= lo AND isbn12 < hi")
+def crowded_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many intervals and keys as lineitem has rows, all within a stretch of 60,000 identifiers."""
+    lines = table(spark, sf_dir, "lineitem")
+    runs = lines.groupBy(F.concat(F.lit("c"), F.col("l_linenumber").cast("string")).alias("catalog"), F.col("l_orderkey").alias("pos")).agg((1 + F.sum("l_partkey") % 7).alias("run_len"))
+    keys = lines.select(F.col("l_orderkey").alias("row_id"), F.col("l_linenumber").alias("line"), (F.lit(membership.FIRST) + (F.col("l_orderkey") * 3 + F.col("l_partkey") * 37) % 60_000).alias("isbn12"))
+    return membership.members(keys, membership.runs_to_intervals(runs))
+
+
 @query(f"WITH {_RUNS} SELECT catalog, count(*) AS hits, count(*) / (SELECT count(isbn12) FROM keys) AS rate FROM hits GROUP BY catalog")
 def catalog_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return membership.catalog_rates(_keys(spark, sf_dir), _hits(spark, sf_dir))

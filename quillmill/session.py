@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -20,3 +21,26 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The session's checkpoint folder. A local session without one gets a temporary folder; a cluster without one is an error."""
+    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    have = conf or spark.sparkContext.getCheckpointDir()
+    if have:
+        return have.rstrip("/")
+    if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    own = tempfile.mkdtemp(prefix="quillmill-")
+    spark.sparkContext.setCheckpointDir(own)
+    return own
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df with its partitions as they are now, in the session's checkpoint folder: later passes see the same rows in the same
+    places, also after executors are lost."""
+    spark = df.sparkSession
+    folder = shared_dir(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
+    return df.checkpoint()

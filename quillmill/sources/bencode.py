@@ -1,8 +1,8 @@
-"""Data source for a bencoded dictionary of run-length-encoded bitmaps: one partition for each catalog.
+"""Data source for a bencoded dictionary of run-length-encoded bitmaps: one partition for each PART_BYTES of a catalog.
 
 spark.dataSource.register(BitmapSource); spark.read.format("bencoded_bitmaps").load(path) gives (catalog, catalog_pos,
 pos, run_len). Opening the file walks the keys and seeks past the values; a partition reads its own range only. The
-option catalogs names the wanted ones, separated by commas.
+option catalogs names the wanted ones, separated by commas; partBytes sets the size of a partition.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-READ_BYTES = 1 << 20
+READ_BYTES, PART_BYTES = 1 << 20, 16 << 20
 
 
 def _length(f: BinaryIO, start: bytes = b"") -> int:
@@ -55,21 +55,25 @@ class Range(InputPartition):
     place: int
     offset: int
     size: int
+    first: int
 
 
 class BitmapReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path = options["path"]
+        self.part_bytes = max(4, int(options.get("partbytes", options.get("partBytes", PART_BYTES))) // 4 * 4)
         self.wanted = {c.strip() for c in options.get("catalogs", "").split(",") if c.strip()}
 
     def partitions(self) -> list[Range]:
         with opened(self.path) as f:
-            return [Range(name, i, at, size) for i, (name, (at, size)) in enumerate(directory(f).items()) if not self.wanted or name in self.wanted]
+            found = [(name, i, at, size) for i, (name, (at, size)) in enumerate(directory(f).items()) if not self.wanted or name in self.wanted]
+        # runs are four bytes each, so a part knows its first run's number
+        return [Range(name, i, at + start, min(self.part_bytes, size - start), start // 4) for name, i, at, size in found for start in range(0, size, self.part_bytes)]
 
     def read(self, part: Range) -> Iterator[pa.RecordBatch]:
         with opened(self.path) as f:
             f.seek(part.offset)
-            left, pos = part.size - part.size % 4, 0
+            left, pos = part.size - part.size % 4, part.first
             while left:
                 data = f.read(min(READ_BYTES, left))
                 left -= len(data)

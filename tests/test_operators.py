@@ -2,6 +2,7 @@ import bisect
 import random
 import struct
 import zipfile
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -76,7 +77,7 @@ def test_members_equal_bisect(spark):
     keys = [rng.randint(900, at + 100) for _ in range(2000)]
     want = {k for k in keys if 1000 <= k < at and bisect.bisect_right(ends, k) % 2 == 0}
     table = spark.createDataFrame([("c", i, n) for i, n in enumerate(runs)], "catalog string, pos long, run_len long")
-    found = membership.members(spark.createDataFrame([(k,) for k in keys], "isbn12 long"), membership.runs_to_intervals(table, 1000), bucket=64)
+    found = membership.members(spark.createDataFrame([(k,) for k in keys], "isbn12 long"), membership.runs_to_intervals(table, 1000, block=37))
     assert {r.isbn12 for r in found.collect()} == want and found.count() == sum(k in want for k in keys)
 
 
@@ -164,7 +165,7 @@ def test_bencoded_bitmaps(spark, tmp_path):
     spark.dataSource.register(bencode.BitmapSource)
     read = lambda path=f"{tmp_path}/codes.benc", **o: sorted(map(tuple, spark.read.format("bencoded_bitmaps").options(**o).load(str(path)).collect()))
     assert read(f"file://{tmp_path}/codes.benc") == read(f"file:{tmp_path}/codes.benc") == read()
-    assert read() == [("md5", 0, 0, 3), ("md5", 0, 1, 4), ("md5", 0, 2, 5), ("north", 1, 0, 1)] and read(catalogs="north") == [("north", 1, 0, 1)]
+    assert read() == [("md5", 0, 0, 3), ("md5", 0, 1, 4), ("md5", 0, 2, 5), ("north", 1, 0, 1)] == read(partBytes=6) and read(catalogs="north") == [("north", 1, 0, 1)]
 
 
 def test_stream_cleans_each_file_once(spark, tmp_path):
@@ -173,3 +174,35 @@ def test_stream_cleans_each_file_once(spark, tmp_path):
         spark.createDataFrame([(n, "Some text here.\n\nMore text.")], "doc_id long, text string").write.mode("append").parquet(where[0])
         landing.clean_stream(spark, *where).awaitTermination()
     assert sorted(r.doc_id for r in spark.read.parquet(where[1]).collect()) == [1, 2]
+
+
+def test_sweep_over_borders_catalogs_and_hot_keys(spark):
+    rng = random.Random(5)
+    spans = [(c, lo, lo + rng.choice([1, 2, 40, 9000])) for c in ("a", "b", "ü", "wide") for lo in rng.sample(range(5000), 60)] + [("wide", 0, 6000)]
+    keys = [(i, rng.choice([17, rng.randrange(-5, 6100)]), "x") for i in range(3000)] + [(None, None, None), (9, 4999, None)]
+    intervals = spark.createDataFrame(spans, "catalog string, lo long, hi long").repartition(3)
+    found = membership.members(spark.createDataFrame(keys, "row_id long, isbn12 long, `hi` string").repartition(5), intervals)
+    assert found.columns == ["row_id", "isbn12", "hi", "catalog"]
+    want = sorted((i, k, x or "", c) for i, k, x in keys if k is not None for c in ("a", "b", "ü", "wide") if any(d == c and lo <= k < hi for d, lo, hi in spans))
+    assert sorted((r.row_id, r.isbn12, r.hi or "", r.catalog) for r in found.collect()) == want
+    assert membership.members(spark.createDataFrame(keys, "row_id long, isbn12 long, t string"), intervals.limit(0)).collect() == []
+    assert membership.members(spark.createDataFrame([], "isbn12 long"), intervals).collect() == []
+
+
+def test_sweep_spreads_a_crowded_stretch(spark):
+    """A third of the keys are one key, and all others lie close together: no range holds over twice the median's rows."""
+    keys = spark.range(60_000).select(F.col("id").alias("row_id"), F.when(F.col("id") % 3 == 0, 500).otherwise(F.col("id") % 4000).alias("isbn12"))
+    intervals = spark.range(2000).select(F.lit("c").alias("catalog"), (F.col("id") * 2).alias("lo"), (F.col("id") * 2 + 1).alias("hi"))
+    spark.conf.set("spark.sql.shuffle.partitions", 16)
+    try:
+        found = membership.members(keys, intervals).select("row_id", F.spark_partition_id().alias("p")).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+    sizes = sorted(Counter(r.p for r in found).values())
+    assert len(found) == sum(1 for i in range(60_000) if i % 3 == 0 or i % 4000 % 2 == 0) and len(sizes) == 16 and sizes[-1] <= 3 * sizes[8]
+
+
+def test_prefix_sums_by_blocks(spark):
+    rows = [(g, p * 3, p % 5 - 1) for g in "ab" for p in range(200)]
+    got = membership.prefix_sums(spark.createDataFrame(rows, "g string, p long, v long").repartition(4), "g", "p", "v", "s", block=50).collect()
+    assert {(r.g, r.p): r.s for r in got} == {(g, p * 3): sum(q % 5 - 1 for q in range(p + 1)) for g in "ab" for p in range(200)} and len(got) == 400
