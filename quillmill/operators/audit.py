@@ -16,11 +16,12 @@ def long_enough(text: Column, least: int = MIN_CHARS) -> Column:
     return F.length(F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)^\s+|\s+\z", "")) >= least
 
 
-def with_metadata(files: DataFrame, catalog: DataFrame) -> DataFrame:
+def with_metadata(files: DataFrame, catalog: DataFrame, order_col: str | None = None) -> DataFrame:
     """files (path, raw) with isbn, title, author, source, license, body, wrapped and known.
 
     The catalog's row (ISBN, Title, Author) goes first, as it is; then the text's own header; then the file's name, and
-    its folder's for the author.
+    its folder's for the author. Of several catalog rows with one ISBN the last by order_col counts; without one, that with
+    the greatest title and author.
     """
     r, meta = F.col("__r"), lambda name: F.try_element_at(F.col("__r.meta"), F.lit(name))
     parsed = files.withColumn("__r", records.split_record(F.coalesce("raw", F.lit(""))))
@@ -31,7 +32,8 @@ def with_metadata(files: DataFrame, catalog: DataFrame) -> DataFrame:
         "path", F.coalesce(I.to13(F.coalesce(meta("isbn"), F.lit(""))), F.lit("")).alias("isbn"), F.coalesce(meta("title"), stem).alias("__title"), F.coalesce(meta("author"), folder).alias("__author"),
         meta("source").alias("source"), meta("license").alias("license"), r.body.alias("body"), records.is_wrapped(F.coalesce("raw", F.lit(""))).alias("wrapped"),
     )
-    own = catalog.groupBy(F.col("ISBN").alias("isbn")).agg(F.first(F.struct("Title", "Author")).alias("__c"))
+    entry = F.struct("Title", "Author")
+    own = catalog.groupBy(F.col("ISBN").alias("isbn")).agg((F.max_by(entry, F.struct(F.col(order_col), entry)) if order_col else F.max(entry)).alias("__c"))
     rows = parsed.join(own, "isbn", "left").withColumn("known", F.col("__c").isNotNull())
     pick = lambda c, other: F.when(F.col("known"), F.coalesce(F.col(f"__c.{c}"), F.lit(""))).otherwise(F.col(other))
     return rows.withColumns({"title": pick("Title", "__title"), "author": pick("Author", "__author")}).drop("__c", "__title", "__author")

@@ -38,7 +38,8 @@ def _trigrams(characters: Column) -> Column:
 def profiles(docs: DataFrame, languages: int = LANGUAGES) -> dict[str, dict[str, float]]:
     """Log probabilities of each language's most frequent trigrams, and under "" that of any other.
 
-    Counted over all rows; what comes to the driver is PROFILE rows for each of the languages with most text.
+    Counted over all rows; what comes to the driver is PROFILE rows for each language. More languages are an error: none
+    is left out without a word.
     """
     padded = F.concat(F.lit(" "), F.lower("text"), F.lit(" "))
     rows = docs.where("text is not null and lang is not null and length(text) > 0").select("lang", F.split(padded, "").alias("c"))
@@ -47,8 +48,10 @@ def profiles(docs: DataFrame, languages: int = LANGUAGES) -> dict[str, dict[str,
     total = F.sum("n").over(Window.partitionBy("lang"))
     out: dict[str, dict[str, float]] = {}
     own = counted.withColumns({"rank": rank, "total": total}).where(F.col("rank") <= PROFILE)
-    for r in own.orderBy(F.desc("total"), "lang", "rank").limit(languages * PROFILE).collect():
+    for r in own.orderBy("lang", "rank").limit(languages * PROFILE + 1).collect():
         out.setdefault(r.lang, {"": math.log(0.5 / r.total)})[r.g] = math.log(r.n / r.total)
+    if len(out) > languages:
+        raise ValueError(f"more than {languages} languages")
     return out
 
 
@@ -60,17 +63,14 @@ def _code(gram: str) -> int:
 def label(parts: DataFrame, known: dict[str, dict[str, float]]) -> DataFrame:
     """Adds lang and prob to (.., part): the likeliest language and its share; und and 0 where there is nothing to tell."""
     langs = sorted(known)
-    grams = np.array(sorted({_code(g) for x in langs for g in known[x] if g}), np.int64)
-    place = {c: i for i, c in enumerate(grams.tolist())}
-    weights = np.array([[known[x][""]] * (len(grams) + 1) for x in langs]).reshape(len(langs), len(grams) + 1)  # the last column is any other trigram
-    for i, x in enumerate(langs):
-        for g, w in known[x].items():
-            if g:
-                weights[i, place[_code(g)]] = w
-    shared = parts.sparkSession.sparkContext.broadcast((grams, weights))
+    entries = sorted((_code(g), i, w - known[x][""]) for i, x in enumerate(langs) for g, w in known[x].items() if g)
+    grams, first, many = np.unique(np.array([e[0] for e in entries], np.int64), return_index=True, return_counts=True)
+    # of each trigram, what each language that keeps it gives beyond what any other trigram gives: PROFILE entries a language
+    whose, gain, other = np.array([e[1] for e in entries], np.int64), np.array([e[2] for e in entries]), np.array([known[x][""] for x in langs])
+    shared = parts.sparkSession.sparkContext.broadcast((grams, first, many, whose, gain, other))
 
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        grams, weights = shared.value
+        grams, first, many, whose, gain, other = shared.value
         for batch in batches:
             texts = [f" {(t or '').lower()} " if (t or "").strip() else "" for t in batch]
             size = np.array([len(t) for t in texts])
@@ -79,11 +79,14 @@ def label(parts: DataFrame, known: dict[str, dict[str, float]]) -> DataFrame:
             at = np.repeat(np.cumsum(size) - size, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             code = (points[at] << 42) | (points[at + 1] << 21) | points[at + 2] if len(at) else np.zeros(0, np.int64)
             near = np.minimum(np.searchsorted(grams, code), max(len(grams) - 1, 0))
-            column = np.where(grams[near] == code, near, len(grams)) if len(grams) else np.zeros(len(code), np.int64)
-            doc, some = np.repeat(np.arange(len(texts)), n), (n > 0) & (len(weights) > 0)
-            means = np.array([np.bincount(doc, w[column], len(texts)) for w in weights]).reshape(len(weights), len(texts)) / np.maximum(n, 1)
-            top = means.argmax(0) if len(weights) else np.zeros(len(texts), int)
-            share = 1 / np.exp(np.minimum(0.0, means - means.max(0)) * 20).sum(0) if len(weights) else np.zeros(len(texts))
+            kept = grams[near] == code if len(grams) else np.zeros(len(code), bool)
+            doc, some, column = np.repeat(np.arange(len(texts)), n)[kept], (n > 0) & (len(langs) > 0), near[kept]
+            each = many[column]
+            entry = np.repeat(first[column], each) + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+            sums = np.bincount(np.repeat(doc, each) * len(langs) + whose[entry], gain[entry], len(texts) * len(langs)).reshape(len(texts), len(langs))
+            means = sums / np.maximum(n, 1)[:, None] + other
+            top = means.argmax(1) if len(langs) else np.zeros(len(texts), int)
+            share = 1 / np.exp(np.minimum(0.0, means - means.max(1, keepdims=True)) * 20).sum(1) if len(langs) else np.zeros(len(texts))
             yield pd.DataFrame({"lang": [langs[i] if good else "und" for i, good in zip(top, some, strict=True)], "prob": np.where(some, share, 0.0)})
 
     return parts.withColumn("__l", F.pandas_udf(score, "lang string, prob double")("part")).withColumns({"lang": F.col("__l.lang"), "prob": F.col("__l.prob")}).drop("__l")

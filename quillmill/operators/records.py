@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from quillmill.functions.expr import let
 
-TAGGED, KEYED = r"(?U)<(\w+)>(.*?)</\1>", r"(?mU)^(\w+): (.*)$"
+#: Lines end at LF alone; Java's "." and "$" would also stop at CR, U+0085, U+2028 and U+2029.
+TAGGED, KEYED = r"(?U)<(\w+)>([^\n]*?)</\1>", r"(?dmU)^(\w+): ([^\n]*)$"
+
 
 def split_record(raw: Column) -> Column:
     """Struct (meta map, body) of a text in either header dialect.
@@ -48,7 +50,8 @@ def split_record(raw: Column) -> Column:
 
 
 def is_wrapped(raw: Column) -> Column:
-    return F.ltrim(F.translate(F.substring(raw, 1, 64), "\n\t\r", "   ")).startswith("<doc>")
+    """Whether the text begins with <doc> after any white space."""
+    return raw.rlike(r"(?U)\A[\s\x1c-\x1f]*+<doc>")
 
 
 def escape(value: Column) -> Column:

@@ -1,11 +1,13 @@
 import unicodedata
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quillmill.functions import ids as I
 from quillmill.functions import textnorm as X
+from quillmill.operators import audit, lid, records
 
 
 def column(spark, values, make):
@@ -61,3 +63,43 @@ def test_markup(spark):
 def test_first_clean_and_percent(spark):
     assert column(spark, ["wo-\n  rd\n 12 \nx  y \n\n\n\nz"], X.first_clean) == ["word\n\nx y\n\nz\n"]
     assert column(spark, ["0.125", "0.135", "1"], lambda c: X.percent(c.cast("double"))) == ["12%", "14%", "100%"]
+
+
+def test_the_first_cleaner_keeps_the_dot_and_knows_only_line_feeds(spark):
+    texts = ["gi\u0307der", "a\r12\rb", "a\n12\nb", "e\u0301 x", "a\u202812\u2028b", "a\x8512\x85b"]
+    assert column(spark, texts, X.first_clean) == ["gi\u0307der\n", "a\r12\rb\n", "a\n\nb\n", "\u00e9 x\n", "a\u202812\u2028b\n", "a\x8512\x85b\n"]
+    assert column(spark, ["gi\u0307der", "\u0131\u0307", "e\u0301", None, ""], X.nfc) == ["gider", "i", "\u00e9", None, ""]
+
+
+def test_characters_are_repaired_in_order(spark):
+    texts = ["Ã¼ber", "İstanbul gÃ¼zel", "ýþ ýþ ı", "сat", "é­​", "plain ascii", "Ä±Ä°", None, "cafÃ©", "a\x0bb\r\nc"]
+    want = ["über", "İstanbul güzel", "ış ış ı", "cat", "é", "plain ascii", "ıİ", None, "café", "ab\nc"]
+    assert column(spark, texts, X.fix_chars) == want
+
+
+def test_headers_with_odd_line_ends(spark):
+    head = "Title: a\u2028b\nISBN: 9780306406157\n\nbody"
+    wrapped = "<doc>\n<metadata>\n<title>a\u2028b\x85c\rd</title>\n<isbn>1</isbn>\n</metadata>\n<content>\nx\n</content>\n</doc>"
+    blanks = "\u2003 \t\n" + " " * 200
+    got = column(spark, [head, wrapped, blanks + wrapped, blanks + "no <doc>", "a\r\nISBN: 1"], records.split_record)
+    assert got[0].meta == {"title": "a\u2028b", "isbn": "9780306406157"} and got[0].body == "body"
+    assert got[1].meta == got[2].meta == {"title": "a\u2028b\x85c\rd", "isbn": "1"} and got[1].body == got[2].body
+    assert got[3].meta == {} and got[3].body == blanks + "no <doc>" and got[4].meta == {"isbn": "1"}
+
+
+def test_the_last_catalog_row_counts(spark):
+    files = spark.createDataFrame([("a/b.txt", "ISBN: 9780306406157\n\ntext")], "path string, raw string")
+    rows = [("9780306406157", "old", "x", 1), ("9780306406157", "new", "a", 3), ("9780306406157", "mid", "z", 2)]
+    for seed in range(3):
+        catalog = spark.createDataFrame(rows[seed:] + rows[:seed], "ISBN string, Title string, Author string, pos int").repartition(3)
+        assert audit.with_metadata(files, catalog, "pos").first().title == "new" and audit.with_metadata(files, catalog).first().title == "old"
+
+
+def test_too_many_languages_are_an_error(spark):
+    docs = spark.createDataFrame([(i, f"some text in {c}", c) for i, c in enumerate("abcd")], "doc_id long, text string, lang string")
+    assert sorted(lid.profiles(docs, languages=4)) == list("abcd")
+    with pytest.raises(ValueError, match="languages"):
+        lid.profiles(docs, languages=3)
+    parts = spark.createDataFrame([("some text in a",), ("",), (None,), ("\U0001f600\U0001f600\U0001f600",)], "part string")
+    assert [r.lang for r in lid.label(parts.coalesce(1), {"a": {"": -9.0, "ome": -1.0}, "b": {"": -9.0, "xyz": -1.0}}).collect()][:3] == ["a", "und", "und"]
+    assert [r.lang for r in lid.label(parts.coalesce(1), {}).collect()] == ["und"] * 4

