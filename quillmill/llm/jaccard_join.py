@@ -47,6 +47,8 @@ from quillmill.llm.substring_dedup import only_words
 CELL, LEADERS = 256, 8
 #: Most queries that a cell takes in one group.
 QUERIES = 4096
+#: Sets that ask for the cells of one shingle in one task.
+ASKERS = 512
 #: DivideSkip's weight of the logarithm of the longest list.
 MU = 0.0085
 LOW = T.U64((1 << B.KEPT_BITS) - 1)
@@ -312,12 +314,18 @@ def searches(known: DataFrame, holders: DataFrame) -> DataFrame:
     hold a rare shingle, all but the largest search the cells in which another group holds it.
     """
     held = written(holders.join(known, "node").distinct(), "held")
-    groups = held.groupBy("token", "root").agg(F.count("*").alias("n")).groupBy("token").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("groups"))
-    mixed = written(held.join(groups.where("groups > 1").select("token", "main"), "token"), "mixed", held)
-    # a row for each shingle, with its cells as an array: no row for each pair of a set and a cell that shares a shingle
-    targets = mixed.groupBy("token").agg(F.sort_array(F.collect_set("cell")).alias("cells"))
-    asking = mixed.where("root != main").select("token", "node", "root", "block", "cell")
-    reach = asking.join(targets, "token").groupBy("node", "root", "block", "cell").agg(F.collect_set("cells").alias("cells"))
+    groups = held.groupBy("token", "root").agg(F.count("*").alias("n")).groupBy("token").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("groups"), F.sum("n").alias("n"))
+    groups = written(groups.where("groups > 1").select("token", "main", "n", F.col("n").alias("holders")), "mixed_tokens")
+    with tidy(known.sparkSession):
+        total = groups.agg(F.sum("n").alias("s")).first().s or 0
+    mixed = written(join_hubs(held, groups, "token", total), "mixed", held, groups)
+    # a row for each shingle, with its cells as an array: no row for each pair of a set and a cell that shares a shingle;
+    # the sets that ask for a common shingle are dealt out over copies of its row
+    copies = F.ceil(F.col("holders") / ASKERS).cast("int")
+    targets = mixed.groupBy("token").agg(F.sort_array(F.collect_set("cell")).alias("cells"), F.first("holders").alias("holders"))
+    targets = targets.select("token", "cells", F.explode(F.sequence(F.lit(0), copies - 1)).alias("copy"))
+    asking = mixed.where("root != main").select("token", "node", "root", "block", "cell", F.pmod(F.xxhash64("node"), copies).cast("int").alias("copy"))
+    reach = asking.join(targets, ["token", "copy"]).groupBy("node", "root", "block", "cell").agg(F.collect_set("cells").alias("cells"))
     out = reach.select("node", "root", "block", F.explode(F.array_remove(F.array_distinct(F.flatten("cells")), F.col("cell"))).alias("cell"))
     return written(out, "searches", mixed)
 
