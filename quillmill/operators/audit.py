@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillmill.functions import ids as I
 from quillmill.operators import lid, lines, records
+from quillmill.session import checkpointed
 
 MIN_CHARS = 500
 
@@ -48,7 +49,7 @@ def audit_files(files: DataFrame, catalog: DataFrame, ledger: DataFrame, shares:
     done = ledger.where("status = 'completed'").select(F.col("key").alias("isbn"), F.lit(True).alias("__done")).distinct()
     rows = with_metadata(files, catalog).join(done, "isbn", "left").where(~(F.col("wrapped") & F.coalesce("__done", F.lit(False)))).drop("__done")  # cleaning them twice would eat paragraphs
     verdict = lid.audit(rows.select(F.col("path").alias("doc_id")), shares, target, threshold).withColumnRenamed("doc_id", "path")
-    rows = rows.join(verdict, "path")
+    rows = checkpointed(rows.join(verdict, "path"))  # the verdicts are read by all three results
     culled = rows.where("decision = 'cull'").select("path", "isbn", "title", "author", F.lit("Existing file in another language").alias("reason"), F.col("summary").alias("detected"))
     kept = rows.where("decision = 'keep'")
     bodies = lines.clean(kept.select(F.col("path").alias("doc_id"), F.col("body").alias("text"))).withColumnRenamed("doc_id", "path")
@@ -59,20 +60,32 @@ def audit_files(files: DataFrame, catalog: DataFrame, ledger: DataFrame, shares:
     return wrapped, culled, entries
 
 
-def save_downloads(found: DataFrame, shares: DataFrame, target: str, threshold: float = 0.5) -> DataFrame:
+def save_downloads(found: DataFrame, shares: DataFrame, target: str, threshold: float = 0.5, earlier: DataFrame | None = None) -> DataFrame:
     """found (key, path, source, raw) with status and detail: the language gate, then the length of the cleaned text, then
-    one copy for a path (the least key's), then completed. body is the cleaned text of what is to be written, else null.
+    one copy for a path, then completed. body is the cleaned text of what is to be written, else null.
+
+    A path belongs to the key of the file that is there (earlier: path, isbn, as of text_tree.saved), or else to the least
+    key; others are completed with one copy kept. With title and author in found, record is the text to write, with source
+    and, if there is one, license.
     """
     rows = found.join(lid.audit(found.select(F.col("key").alias("doc_id")), shares, target, threshold).withColumnRenamed("doc_id", "key"), "key")
     bodies = lines.clean(rows.where("decision = 'keep'").select(F.col("key").alias("doc_id"), F.col("raw").alias("text"))).withColumnRenamed("doc_id", "key")
     rows = rows.drop("raw").join(bodies, "key", "left").withColumn("usable", F.coalesce(F.length("body") >= MIN_CHARS, F.lit(False)))
-    first = rows.where("usable").groupBy("path").agg(F.min("key").alias("__first"))
-    rows = rows.join(first, "path", "left")
-    copy = F.col("__first") != F.col("key")
+    owner = rows.where("usable").groupBy("path").agg(F.min("key").cast("string").alias("__owner"))
+    if earlier is not None:
+        there = earlier.where("isbn <> ''").groupBy("path").agg(F.min("isbn").alias("__there"))
+        owner = owner.join(there, "path", "left").select("path", F.coalesce("__there", "__owner").alias("__owner"))
+    rows = rows.join(owner, "path", "left")
+    copy = F.col("__owner") != F.col("key").cast("string")
     status = F.when(F.col("decision") == "cull", "culled").when(~F.col("usable"), "no usable text").otherwise("completed")
     why = F.concat(F.lit(" ("), F.col("summary"), F.lit(")"))
     detail = (
         F.when(F.col("decision") == "cull", F.concat(F.lit("Downloaded text in another language"), why)).when(~F.col("usable"), F.concat(F.col("source"), F.lit(": no usable text")))
-        .when(copy, F.concat(F.lit("same title and author as ISBN "), F.col("__first").cast("string"), F.lit("; one copy kept"))).otherwise(F.concat(F.lit("downloaded"), why))
+        .when(copy, F.concat(F.lit("same title and author as ISBN "), F.col("__owner"), F.lit("; one copy kept"))).otherwise(F.concat(F.lit("downloaded"), why))
     )
-    return rows.select("key", "path", status.alias("status"), detail.alias("detail"), F.when((status == "completed") & ~copy, F.col("body")).alias("body"))
+    write = (status == "completed") & ~copy
+    made = [status.alias("status"), detail.alias("detail"), F.when(write, F.col("body")).alias("body")]
+    if {"title", "author"} <= set(found.columns):
+        extra = {c: F.col(c) for c in ("source", "license") if c in found.columns}
+        made.append(F.when(write, records.wrap_record(F.col("body"), F.col("title"), F.col("author"), F.col("key").cast("string"), target, extra)).alias("record"))
+    return rows.select("key", "path", *made)

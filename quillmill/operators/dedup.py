@@ -15,24 +15,33 @@ def normalise(catalog: DataFrame, isbn_col: str = "isbn13") -> DataFrame:
     return catalog.withColumns(strings | {isbn_col: I.isbn_clean(F.col(isbn_col))})
 
 
-def mark_duplicates(catalog: DataFrame, isbn_col: str = "isbn13", title_col: str = "title", order_col: str = "input_pos") -> DataFrame:
+#: Rows from which a key's keeper is broadcast; of n rows at most n / HOT_ROWS keys have as many, some 60 bytes each.
+HOT_ROWS = 1 << 20
+
+
+def mark_duplicates(catalog: DataFrame, isbn_col: str = "isbn13", title_col: str = "title", order_col: str = "input_pos", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Adds elim_category and elim_reason: duplicates of the first twelve characters, then invalid check digits.
 
-    The keeper of a key is valid rather than not, titled rather than not, then first in input order. Empty ISBNs share
-    one key, as the semantics have it; only that key can be hot, and it is dealt with on its own rows.
+    The keeper of a key is valid rather than not, titled rather than not, then first in input order. Empty ISBNs share one
+    key, as the semantics have it, which can hold most rows; a placeholder can too. Keepers of keys with hot_rows rows are
+    broadcast to them, and their rows are dealt out evenly in the join with all other keepers.
     """
     isbn, title = F.col(isbn_col), F.col(title_col)
     rows = catalog.withColumns({"__valid": I.valid13(isbn), "__key": F.substring(isbn, 1, 12)})
     rank = F.struct((~F.col("__valid")).cast("int").alias("a"), (title == "").cast("int").alias("b"), F.col(order_col).alias("c"))
     # min_by combines before the shuffle, where a window would sort every row of a hot key in one task
-    keeper = rows.groupBy("__key").agg(F.min_by(F.struct(isbn.alias("isbn"), F.col(order_col).alias("pos")), rank).alias("__keeper"))
-    rows = rows.join(keeper, "__key")
+    keeper = rows.groupBy("__key").agg(F.min_by(F.struct(isbn.alias("isbn"), F.col(order_col).alias("pos")), rank).alias("__keeper"), F.count("*").alias("__n"))
+    hot = F.broadcast(keeper.where(F.col("__n") >= hot_rows).select("__key", F.col("__keeper").alias("__hot")))
+    rows = rows.join(hot, "__key", "left")
+    spread = F.concat(F.lit("hot "), F.pmod(F.xxhash64(order_col), F.lit(1 << 14)).cast("string"))  # no key: keys are digits and X
+    rows = rows.withColumn("__key", F.when(F.col("__hot").isNull(), F.col("__key")).otherwise(spread)).join(keeper.where(F.col("__n") < hot_rows).drop("__n"), "__key", "left")
+    rows = rows.withColumn("__keeper", F.coalesce("__hot", "__keeper"))
     kept = F.col("__keeper.isbn")
     extra = F.col(order_col) != F.col("__keeper.pos")
     why = F.when(kept == isbn, "Duplicate ISBN").otherwise(F.concat(F.lit("Duplicate of ISBN "), kept, F.lit(": same first 12 digits, this copy has a wrong check digit")))
     category = F.when(extra, "duplicate").when(~F.col("__valid"), "invalid_isbn")
     reason = F.when(extra, why).when(~F.col("__valid"), I.invalid_reason(isbn))
-    return rows.withColumns({"elim_category": category, "elim_reason": reason}).drop("__key", "__valid", "__keeper")
+    return rows.withColumns({"elim_category": category, "elim_reason": reason}).drop("__key", "__valid", "__keeper", "__hot")
 
 
 def publisher_fallback(publisher: Column, inferred: Column) -> tuple[Column, Column]:

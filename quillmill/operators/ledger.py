@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmill.functions import textnorm as X
+from quillmill.session import checkpointed
 
 # Statuses, their words and default details.
 SETTLED = ("completed", "culled", "no_open_copy")
@@ -86,11 +87,28 @@ def wanted(books: DataFrame, notes: DataFrame, missing: DataFrame, status: DataF
 
 
 def breaker(calls: DataFrame, source: str, order: list[str], failed: Column, trip_after: int = TRIP_AFTER) -> DataFrame:
-    """Adds down: from the call on that ends trip_after failures in a row, for good."""
-    by = Window.partitionBy(source).orderBy(*order)
-    recent = by.rowsBetween(1 - trip_after, 0)
-    trip = (F.min(failed.cast("int")).over(recent) == 1) & (F.count("*").over(recent) == trip_after)
-    return calls.withColumn("__trip", trip).withColumn("down", F.max("__trip").over(by.rowsBetween(Window.unboundedPreceding, 0))).drop("__trip")
+    """Adds down: from the call on that ends trip_after failures in a row, for good.
+
+    Sources are few and their calls many, so calls are ranged by source and order, and every range is looked at apart. What
+    one range tells the next of a source is how many failures it ends with; a row for each range and source carries that on.
+    Of a source then only its first trip matters. Calls without a source are never down.
+    """
+    at = F.struct(*order)
+    ranges = int(calls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = calls.withColumn("__fail", F.coalesce(failed, F.lit(False))).repartitionByRange(ranges, source, *order).withColumn("__part", F.spark_partition_id())
+    rows = checkpointed(rows)
+    by = Window.partitionBy("__part", source).orderBy(*order)
+    runs = rows.withColumn("__ok", F.sum((~F.col("__fail")).cast("int")).over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    # failures since the range's last success, or since its start
+    runs = runs.withColumn("__run", F.count_if("__fail").over(Window.partitionBy("__part", source, "__ok").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
+    ends = runs.groupBy("__part", source).agg(F.max("__ok").alias("ok"), F.max_by("__run", at).alias("tail"))
+    parts = Window.partitionBy(source).orderBy("__part")
+    ends = ends.withColumn("since", F.sum((F.col("ok") > 0).cast("int")).over(parts.rowsBetween(Window.unboundedPreceding, 0)))
+    ends = ends.withColumn("total", F.sum("tail").over(Window.partitionBy(source, "since").orderBy("__part").rowsBetween(Window.unboundedPreceding, 0)))
+    carried = ends.select("__part", source, F.coalesce(F.lag("total").over(parts), F.lit(0)).alias("__carried"))
+    length = F.col("__run") + F.when(F.col("__ok") == 0, F.col("__carried")).otherwise(0)
+    tripped = runs.join(carried, ["__part", source]).where(F.col("__fail") & (length >= trip_after)).groupBy(source).agg(F.min(at).alias("__trip"))
+    return rows.join(tripped, source, "left").withColumn("down", F.coalesce(at >= F.col("__trip"), F.lit(False))).drop("__fail", "__part", "__trip")
 
 
 def backoff(attempt: Column, retry_after: Column | None = None) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillmill.functions import textnorm as X
 from quillmill.operators import dedup, enrich, rules
+from quillmill.session import checkpointed
 
 
 def untitled(rows: DataFrame, title_col: str = "title") -> DataFrame:
@@ -43,7 +44,15 @@ def screen_catalog(catalog: DataFrame, rule_set: rules.RuleSet, cache: DataFrame
     return rules.resolve(rules.screen(rows, rule_set), rule_set, title_col)
 
 
+def classified_once(catalog: DataFrame, rule_set: rules.RuleSet, **options) -> DataFrame:
+    """screen_catalog, settled in the session's checkpoint folder: the outputs and every report read what was classified."""
+    return checkpointed(screen_catalog(catalog, rule_set, **options))
+
+
 def outputs(classified: DataFrame, isbn_col: str = "isbn13") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Cleaned, eliminated and bare rows, sorted by ISBN, by (category, confidence, ISBN), and by ISBN."""
+    """Cleaned, eliminated and bare rows, sorted by ISBN, by (category, confidence, ISBN), and by ISBN.
+
+    Three reads of classified: hand in a table, such as that of classified_once.
+    """
     cleaned, eliminated, bare = dedup.split_outputs(classified)
     return cleaned.orderBy(isbn_col), eliminated.orderBy("elim_category", "confidence", isbn_col), bare.orderBy(isbn_col)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,9 @@ from quillmill.functions import ids as I
 from quillmill.functions import textnorm as X
 from quillmill.operators import audit, lid, lines, records
 from quillmill.plans.base import CHECK_SQL, query, table
+from quillmill.session import checkpointed, shared_dir
+from quillmill.sources.shared import delete_at_end
+from quillmill.sources.text_tree import saved, write_tree
 
 _TAG = r"</?[A-Za-z][A-Za-z0-9]*(?:\s[^<>]*)?/?>"
 _STRIPPED = rf"""stripped AS (SELECT page_id, replace(replace(replace(replace(replace(replace(replace(replace(replace(
@@ -317,3 +322,22 @@ def download_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = docs.select(F.col("doc_id").alias("key"), path.alias("path"), F.lit("web").alias("source"), F.col("text").alias("raw"))
     out = audit.save_downloads(found, lid.vote(_labelled(spark, sf_dir)), "en")
     return out.select("key", "path", "status", F.contains("detail", F.lit("one copy kept")).alias("copy"), F.length("body").cast("long").alias("written"))
+
+
+@query(f"""WITH {_VOTES}, {_BODIES}, d AS (SELECT doc_id, coalesce(max(share) FILTER (shares.lang = 'en') >= 0.5, false) AS keep FROM documents LEFT JOIN shares USING (doc_id) GROUP BY doc_id),
+  r AS (SELECT doc_id AS key, source || '/' || doc_id // 4 || '.txt' AS path, doc_id % 2 AS run, keep AND length(replace(replace(coalesce(body, ''), '</content>', ''), '</doc>', '')) >= 500 AS good FROM documents JOIN d USING (doc_id) LEFT JOIN bodies USING (doc_id)),
+  o AS (SELECT path, arg_min(key, run * 1000000000 + key) AS own FROM r WHERE good GROUP BY path)
+  SELECT key, path, own <> key AS copy, own = key AS there, own FROM r JOIN o USING (path) WHERE good""")
+def saved_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts saved in a tree by two runs, the second beside the files of the first: whose file is at each path in the end."""
+    root = delete_at_end(spark, f"{shared_dir(spark)}/tree-{uuid.uuid4().hex}")
+    docs, shares = table(spark, sf_dir, "documents"), checkpointed(lid.vote(_labelled(spark, sf_dir)))
+    path, key = F.concat_ws("/", "source", F.concat(F.floor(F.col("doc_id") / 4).cast("string"), F.lit(".txt"))), F.col("doc_id")
+    found = docs.select(key.alias("key"), path.alias("path"), F.lit("web").alias("source"), F.lit("t").alias("title"), F.lit("a").alias("author"), F.col("text").alias("raw"))
+    done = []
+    for run in (0, 1):
+        out = checkpointed(audit.save_downloads(found.where(F.col("key") % 2 == run), shares, "en", earlier=checkpointed(saved(spark, root))))
+        write_tree(out, root)
+        done.append(out.where("status = 'completed'").select("key", "path", F.contains("detail", F.lit("one copy kept")).alias("copy"), F.col("record").isNotNull().alias("there")))
+    owner = saved(spark, root).select("path", F.col("isbn").cast("long").alias("own"))
+    return done[0].unionByName(done[1]).join(owner, "path", "left")

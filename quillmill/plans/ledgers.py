@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmill.operators import dedup, ledger, report
 from quillmill.plans.base import query, table
+from quillmill.session import shared_dir
+from quillmill.sources.ledger_store import LedgerStore
+from quillmill.sources.shared import delete_at_end
 
 _LOG = "log AS (SELECT user_id AS key, event_type AS status, 'd' || event_id || ' for url: http://x/' || event_id AS detail, ts AS updated, event_id AS seq FROM events)"
 _LATEST = f"{_LOG}, latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY updated DESC, seq DESC) AS rn FROM log) WHERE rn = 1)"
@@ -22,6 +27,17 @@ def ledger_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.latest(_log(spark, sf_dir), ["key"]).select("key", "status", "detail", "seq")
 
 
+@query(f"WITH {_LATEST} SELECT key, status, detail, seq FROM latest")
+def ledger_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, through a store: one log, a compaction, then another log that arrives out of order."""
+    store = LedgerStore(spark, delete_at_end(spark, f"{shared_dir(spark)}/ledger-{uuid.uuid4().hex}"), ["key"], buckets=32)
+    log = _log(spark, sf_dir)
+    store.append(log.where("seq % 3 <> 0"))
+    store.compact()
+    store.append(log.where("seq % 3 = 0"))
+    return store.read().select("key", "status", "detail", "seq")
+
+
 @query("""SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)""")
 def anti_settled(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, "completed").otherwise("failed").alias("status"))

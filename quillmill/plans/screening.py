@@ -120,7 +120,7 @@ _RUN = f"""{CATALOG_SQL}, {_RESOLVED},
 
 def _run(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = catalog(spark, sf_dir).drop("title").join(_rows(spark, sf_dir), "p_partkey")
-    return screening.screen_catalog(rows, RULES)
+    return screening.classified_once(rows, RULES)
 
 
 @query(f"WITH {_RUN} SELECT *, CASE WHEN elim_category IS NULL THEN 'cleaned' WHEN elim_category = 'no_metadata' THEN 'bare' ELSE 'eliminated' END AS output FROM run")

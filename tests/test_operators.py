@@ -206,3 +206,35 @@ def test_prefix_sums_by_blocks(spark):
     rows = [(g, p * 3, p % 5 - 1) for g in "ab" for p in range(200)]
     got = membership.prefix_sums(spark.createDataFrame(rows, "g string, p long, v long").repartition(4), "g", "p", "v", "s", block=50).collect()
     assert {(r.g, r.p): r.s for r in got} == {(g, p * 3): sum(q % 5 - 1 for q in range(p + 1)) for g in "ab" for p in range(200)} and len(got) == 400
+
+
+def test_breaker_over_ranges(spark):
+    """One source has most calls and runs of failures that lie across the borders of ranges."""
+    rng = random.Random(11)
+    calls, want = [], {}
+    for source, n, bad in (("hot", 4000, 0.0), ("late", 900, 0.3), ("all", 300, 1.0), ("short", 2, 1.0), ("never", 500, 0.1)):
+        fails = [rng.random() < bad and not (source == "never" and i % 3 == 0) for i in range(n)]
+        if source == "hot":
+            fails = [i % 3 != 0 for i in range(n)]  # two in a row, everywhere
+            fails[3999], fails[3998], fails[3997] = True, True, True
+        down = False
+        for i, f in enumerate(fails):
+            down = down or (i >= 2 and fails[i - 2] and fails[i - 1] and f)
+            calls.append((source, i, f, i))
+            want[source, i] = down
+    rng.shuffle(calls)
+    frame = spark.createDataFrame([*calls, (None, 1, True, 1), (None, 2, True, 2), (None, 3, None, 3)], "s string, t long, f boolean, seq long").repartition(6)
+    spark.conf.set("spark.sql.shuffle.partitions", 13)
+    try:
+        got = ledger.breaker(frame, "s", ["t", "seq"], F.col("f")).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert {(r.s, r.t): r.down for r in got if r.s} == want and [r.down for r in got if r.s is None] == [False] * 3
+
+
+def test_hot_keys_have_the_same_keeper(spark):
+    rng = random.Random(12)
+    rows = [(rng.choice(["", "9780306406157", "9780306406158", "97803064061", "9781234567897"]), rng.choice(["", "t"]), i) for i in range(600)]
+    frame = spark.createDataFrame(rows, "isbn13 string, title string, input_pos long").repartition(4)
+    one, two = (sorted(map(tuple, dedup.mark_duplicates(frame, hot_rows=n).collect()), key=repr) for n in (50, 1 << 20))
+    assert one == two and len(one) == 600
