@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmill.functions import ids as I
-from quillmill.operators import lid, lines, records
+from quillmill.functions import textnorm as X
+from quillmill.operators import langid, lid, lines, records
 from quillmill.session import checkpointed
 
 MIN_CHARS = 500
@@ -40,6 +41,14 @@ def with_metadata(files: DataFrame, catalog: DataFrame, order_col: str | None =
     return rows.withColumns({"title": pick("Title", "__title"), "author": pick("Author", "__author")}).drop("__c", "__title", "__author")
 
 
+def language_shares(texts: DataFrame, model: langid.Model, id_col: str = "path", text_col: str = "raw") -> DataFrame:
+    """(doc_id, lang, share) of texts, headers left out: markup first, then characters, then a vote of the model's labels."""
+    body = records.split_record(F.coalesce(F.col(text_col), F.lit("")))["body"]
+    docs = checkpointed(texts.select(F.col(id_col).alias("doc_id"), body.alias("body")))  # Spark can't bind headers and markup in one expression
+    docs = docs.select("doc_id", X.fix_chars(X.strip_markup(F.col("body"))).alias("text"))
+    return lid.vote(langid.label(lid.chunks(docs), model))
+
+
 def audit_files(files: DataFrame, catalog: DataFrame, ledger: DataFrame, shares: DataFrame, target: str, threshold: float = 0.5) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Records kept (path, isbn, record), rows culled (path, isbn, title, author, reason, detected) and ledger rows.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quillmill.functions import ids as I
 from quillmill.functions import textnorm as X
-from quillmill.operators import audit, lid, lines, records
+from quillmill.operators import audit, langid, lid, lines, records
 from quillmill.plans.base import CHECK_SQL, query, table
 from quillmill.session import checkpointed, shared_dir
 from quillmill.sources.shared import delete_at_end
@@ -242,11 +242,28 @@ def min_length_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def lid_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Profiles from the corpus itself, then chunks, labels, vote and decision."""
+    """A classifier of the corpus's own languages, then chunks, labels, vote and decision."""
+    docs = table(spark, sf_dir, "documents")
+    return lid.audit(docs, lid.vote(langid.label(lid.chunks(docs), langid.train(docs))), "en")
+
+
+@query()
+def profile_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with trigram profiles in place of the classifier."""
     docs = table(spark, sf_dir, "documents")
     return lid.audit(docs, lid.vote(lid.label(lid.chunks(docs), lid.profiles(docs))), "en")
 
 
+@query()
+def labelled_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole audit of files, with the shares that the classifier finds in them."""
+    files, catalog, done = _files(spark, sf_dir)
+    files = files.select("path", "raw")
+    shares = checkpointed(audit.language_shares(files, langid.train(table(spark, sf_dir, "documents"))))
+    kept, culled, _ = audit.audit_files(files, catalog, done, shares, "en")
+    return kept.select("path", "isbn", F.lit("completed").alias("status")).unionByName(culled.select("path", "isbn", F.lit("culled").alias("status")))
+
+
 #: Character repair and markup for texts that need neither re-decoding nor more than the finite map of entities.
 _FIXED = f"""doc_blocks AS (SELECT doc_id, replace(replace(replace(replace(replace(replace(replace(replace(replace(CASE WHEN len(regexp_extract_all(substr(t, 1, 200000), '{_TAG}')) > 20 THEN regexp_replace(regexp_replace(t,
     '(?i)<br\\s*/?>|</(?:p|div|h[0-9]|li|tr)>', chr(10), 'g'), '{_TAG}', ' ', 'g') ELSE t END, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''), '&nbsp;', chr(160)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') AS text
