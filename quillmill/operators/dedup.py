@@ -83,3 +83,11 @@ def insert_columns(rows: DataFrame, at: int, columns: dict[str, Column]) -> Data
     """New columns before the column at the given place."""
     names = rows.columns
     return rows.select(*(f"`{c}`" for c in names[:at]), *(v.alias(k) for k, v in columns.items()), *(f"`{c}`" for c in names[at:]))
+
+
+def lookup(rows: DataFrame, pairs: DataFrame, key: str, value: str, order: str | None = None, default: Column | None = None, name: str | None = None) -> DataFrame:
+    """rows with the value that pairs (key, value) have for their key, under name: of several the last by order, or without an
+    order the greatest; the default, or an empty text, where there is none. Rows without a key find nothing."""
+    last = pairs.groupBy(F.col(key).alias("__key")).agg((F.max_by(value, order) if order else F.max(value)).alias("__value"), F.lit(True).alias("__there"))
+    found = F.when(F.col("__there"), F.col("__value")).otherwise(F.lit("") if default is None else default)
+    return rows.join(last, F.col(key) == F.col("__key"), "left").withColumn(name or value, found).drop("__key", "__value", "__there")

@@ -38,6 +38,11 @@ def year_at_most(year: Column, limit: int) -> Column:
     return F.coalesce(year.try_cast("double") <= limit, F.lit(False))
 
 
+def answered(lookups: DataFrame, key: str, source: str = "source") -> DataFrame:
+    """(key, sources): the sources that have answered for each key, in order of their names; sources are few."""
+    return lookups.groupBy(key).agg(F.array_sort(F.collect_set(source)).alias("sources"))
+
+
 def settle(needed: DataFrame, answered: DataFrame, failures: DataFrame, ledger: DataFrame, key: str) -> DataFrame:
     """Keys for which every needed source has answered, with no failure and no row yet. needed, answered: (key, source)."""
     want = needed.distinct().join(answered.select(key, "source").distinct().withColumn("got", F.lit(1)), [key, "source"], "left")

@@ -133,8 +133,10 @@ def _tidied(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
   SELECT n_nationkey, coalesce(last_name, '') AS last_name, coalesce(last_name, 'not known') AS with_default FROM nation LEFT JOIN r ON n_regionkey = k""")
 def lookup_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
-    last = nation.where("n_regionkey <> 2").groupBy("n_regionkey").agg(F.max_by("n_name", "n_nationkey").alias("l"))
-    return nation.join(last, "n_regionkey", "left").select("n_nationkey", F.coalesce("l", F.lit("")).alias("last_name"), F.coalesce("l", F.lit("not known")).alias("with_default"))
+    known = nation.where("n_regionkey <> 2")
+    rows = dedup.lookup(nation.select("n_nationkey", "n_regionkey"), known, "n_regionkey", "n_name", "n_nationkey", name="last_name")
+    rows = dedup.lookup(rows, known, "n_regionkey", "n_name", "n_nationkey", F.lit("not known"), "with_default")
+    return rows.select("n_nationkey", "last_name", "with_default")
 
 
 _SOURCES = """cache AS (

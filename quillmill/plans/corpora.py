@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quillmill.functions import ids as I
 from quillmill.functions import textnorm as X
-from quillmill.operators import audit, langid, lid, lines, records
+from quillmill.operators import audit, langid, lid, lines, mojibake, records
 from quillmill.plans.base import CHECK_SQL, query, table
 from quillmill.session import checkpointed, shared_dir
 from quillmill.sources.shared import delete_at_end
@@ -358,3 +358,13 @@ def saved_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         done.append(out.where("status = 'completed'").select("key", "path", F.contains("detail", F.lit("one copy kept")).alias("copy"), F.col("record").isNotNull().alias("there")))
     owner = saved(spark, root).select("path", F.col("isbn").cast("long").alias("own"))
     return done[0].unionByName(done[1]).join(owner, "path", "left")
+
+
+@query("SELECT doc_id, text FROM documents")
+def mojibake_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts whose UTF-8 was read as Latin-1 once or twice, or not at all, and the search's repair of them."""
+    docs = table(spark, sf_dir, "documents")
+    misread = lambda t: F.decode(F.encode(t, "UTF-8"), "ISO-8859-1")
+    key, text = F.col("doc_id"), F.col("text")
+    damaged = docs.select("doc_id", F.when(key % 3 == 0, misread(text)).when(key % 3 == 1, misread(misread(text))).otherwise(text).alias("text"))
+    return damaged.select("doc_id", mojibake.repairer(mojibake.bigrams(docs))(text).alias("text"))

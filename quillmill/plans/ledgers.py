@@ -156,7 +156,8 @@ def reason_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT user_id AS key, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS answered FROM events GROUP BY user_id""")
 def answered_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("key")).agg(F.array_join(F.array_sort(F.collect_set("event_type")), ",").alias("answered"))
+    found = ledger.answered(table(spark, sf_dir, "events").withColumnRenamed("user_id", "key"), "key", "event_type")
+    return found.select("key", F.array_join("sources", ",").alias("answered"))
 
 
 @query("""SELECT s_suppkey, s_name, 'x' AS tag FROM supplier""")
