@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillmill.functions import ids as I
 from quillmill.functions import textnorm as X
 from quillmill.operators import dedup, enrich, membership
 from quillmill.plans.base import CATALOG_SQL, CHECK_SQL, catalog, query, table
+from quillmill.session import checkpointed, shared_dir
+from quillmill.sources.shared import delete_at_end
+from quillmill.sources.text_tree import write_tree
+from quillmill.streaming import index
 
 _VALID = f"(regexp_full_match(isbn13, '[0-9]{{13}}') AND {CHECK_SQL.format(x='isbn13')} = CAST(substr(isbn13, 13, 1) AS INT))"
 
@@ -231,11 +237,34 @@ def bulk_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _indexed(table(spark, sf_dir, "lineitem"))
 
 
-def _indexed(lines: DataFrame) -> DataFrame:
+@query(f"""WITH x AS (SELECT 'id' || l_orderkey AS identifier, {_ISBN.format(k="l_partkey")} AS isbn FROM lineitem)
+  SELECT isbn, array_to_string(list_sort(list(DISTINCT identifier)), ',') AS ids FROM x GROUP BY isbn""")
+def paged_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same index from pages of a search, some of which come in only after the stream has run for the first time."""
+    folder = delete_at_end(spark, f"{shared_dir(spark)}/pages-{uuid.uuid4().hex}")
+    items = _items(table(spark, sf_dir, "lineitem")).withColumns({"query": F.concat(F.lit("q"), (F.col("l_orderkey") % 3).cast("string")), "page": F.floor(F.col("l_orderkey") / 3000)})
+    pages = items.groupBy("query", "page").agg(F.collect_list(F.struct("identifier", F.col("isbns").alias("isbn"))).alias("items"))
+    # pages of a query are numbered without gaps, as a cursor leads from each to the next
+    order = Window.partitionBy("query").orderBy("page")
+    pages = pages.withColumns({"n": F.row_number().over(order), "last": F.lead("page").over(order).isNull()})
+    name = F.when(F.col("n") == 1, "start").otherwise(F.col("n").cast("string"))
+    body = F.to_json(F.struct("items", F.when(~F.col("last"), (F.col("n") + 1).cast("string")).alias("cursor")))
+    pages = checkpointed(pages.select(F.concat("query", F.lit("/"), name, F.lit(".json")).alias("path"), body.alias("record"), (F.col("n") % 4 == 3).alias("late")))
+    for part in (pages.where("not late"), pages.where("late")):
+        write_tree(part, f"{folder}/pages")
+        index.collect_pages(spark, f"{folder}/pages", f"{folder}/items", f"{folder}/checkpoint").awaitTermination()
+    return index.collected_index(spark, f"{folder}/items").select("isbn", F.array_join("ids", ",").alias("ids"))
+
+
+def _items(lines: DataFrame) -> DataFrame:
     first = F.concat(F.lit("978"), F.lpad(F.col("l_partkey").cast("string"), 9, "0"))
     lines = lines.select("l_orderkey", F.concat(first, I.check_digit13(first)).alias("code"))
     items = lines.groupBy("l_orderkey").agg(F.concat_ws("; ", F.collect_list("code"), F.lit("none")).alias("isbns"))
-    return enrich.bulk_index(items.select(F.concat(F.lit("id"), F.col("l_orderkey").cast("string")).alias("identifier"), "isbns")).select("isbn", F.array_join("ids", ",").alias("ids"))
+    return items.withColumn("identifier", F.concat(F.lit("id"), F.col("l_orderkey").cast("string")))
+
+
+def _indexed(lines: DataFrame) -> DataFrame:
+    return enrich.bulk_index(_items(lines)).select("isbn", F.array_join("ids", ",").alias("ids"))
 
 
 @query("""SELECT event_id, CASE WHEN event_id % 5 = 0 THEN false WHEN event_id % 5 < 3 THEN true WHEN event_id % 5 = 3 THEN true ELSE false END AS open,
