@@ -15,6 +15,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """rows of a scan in as many partitions as there are cores: for work that costs far more than a shuffle of its input, over
+    tables that lie in fewer pieces than that. Larger tables are left as they are."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def query(sql: str | None = None) -> Callable:
     """Register a query under its function's name, with DuckDB SQL for the same rows."""
 

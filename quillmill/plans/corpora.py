@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quillmill.functions import ids as I
 from quillmill.functions import textnorm as X
 from quillmill.operators import audit, langid, lid, lines, mojibake, records
-from quillmill.plans.base import CHECK_SQL, query, table
+from quillmill.plans.base import CHECK_SQL, query, spread, table
 from quillmill.session import checkpointed, shared_dir
 from quillmill.sources.shared import delete_at_end
 from quillmill.sources.text_tree import saved, write_tree
@@ -30,7 +30,7 @@ def _lines_sql(source: str, key: str, text: str) -> str:
 
 
 def _stripped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), X.unescape_common(X.strip_tags(F.col("html"))).alias("text"))
+    return spread(table(spark, sf_dir, "pages")).select(F.col("page_id").alias("doc_id"), X.unescape_common(X.strip_tags(F.col("html"))).alias("text"))
 
 
 @query(f"""WITH {_STRIPPED}, ln AS {_lines_sql("stripped", "page_id", "t")}
@@ -52,7 +52,7 @@ _FOLD_FROM, _FOLD_TO = "".join(X.FOLD), "".join(X.FOLD.values()).replace("'", "'
 
 @query(f"""SELECT doc_id, lower(translate(text, '{_FOLD_FROM}', '{_FOLD_TO}')) AS folded FROM documents""")
 def fold_latin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", X.fold_latin(F.col("text")).alias("folded"))
+    return spread(table(spark, sf_dir, "documents")).select("doc_id", X.fold_latin(F.col("text")).alias("folded"))
 
 
 @query(f"""WITH t AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'ışık ' || text WHEN doc_id % 3 = 1 THEN 'ýþýk Ð ' || text ELSE 'ýş' || text END AS t FROM documents)
@@ -64,7 +64,7 @@ def codepage_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _codepage(spark: SparkSession, sf_dir: str, body: Column) -> DataFrame:
     k = F.col("doc_id") % 3
     text = F.when(k == 0, F.concat(F.lit("ışık "), body)).when(k == 1, F.concat(F.lit("ýþýk Ð "), body)).otherwise(F.concat(F.lit("ýş"), body))
-    return table(spark, sf_dir, "documents").select("doc_id", X.fix_codepage(text).alias("repaired"))
+    return spread(table(spark, sf_dir, "documents")).select("doc_id", X.fix_codepage(text).alias("repaired"))
 
 
 _DIRTY = "'Ä±Ã¼' || chr(173) || 'a' || chr(8203) || 'b' || chr(13) || chr(10) || 'c' || chr(12) || 'd' || chr(11) || 'e' || chr(9) || chr(7) || chr(13) || text"
@@ -78,7 +78,7 @@ def char_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _characters(spark: SparkSession, sf_dir: str, body: Column) -> DataFrame:
     dirty = F.concat(F.lit("Ä±Ã¼­a​b\r\nc\fd\x0be\t\x07\r"), body)
-    return table(spark, sf_dir, "documents").select("doc_id", X.drop_control(X.unify_newlines(X.drop_invisible(X.fix_mojibake(dirty)))).alias("repaired"))
+    return spread(table(spark, sf_dir, "documents")).select("doc_id", X.drop_control(X.unify_newlines(X.drop_invisible(X.fix_mojibake(dirty)))).alias("repaired"))
 
 
 @query("""SELECT doc_id, nfc_normalize(replace(replace(text, 'é', 'e' || chr(769)), 'ñ', 'n' || chr(771))) AS nfc FROM documents""")
@@ -88,11 +88,11 @@ def nfc_normal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _composed(spark: SparkSession, sf_dir: str, body: Column) -> DataFrame:
     split = F.replace(F.replace(body, F.lit("é"), F.lit("é")), F.lit("ñ"), F.lit("ñ"))
-    return table(spark, sf_dir, "documents").select("doc_id", X.nfc(split).alias("nfc"))
+    return spread(table(spark, sf_dir, "documents")).select("doc_id", X.nfc(split).alias("nfc"))
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread(table(spark, sf_dir, "documents")).select("doc_id", "text")
 
 
 @query(f"""WITH ln AS {_lines_sql("documents", "doc_id", "text")} SELECT doc_id, pos, line FROM ln WHERE line <> '' AND ({_LETTERS.format(x="line")} < 3 OR {_LETTERS.format(x="line")} < 0.5::DOUBLE * length(replace(line, ' ', '')))""")
@@ -177,12 +177,12 @@ def edge_boilerplate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def doc_wrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("doc_id").cast("string")
     extra = {"source": F.lit(""), "license": F.when(F.col("doc_id") % 2 == 0, "open")}
-    return table(spark, sf_dir, "documents").select("doc_id", records.wrap_record(F.col("text"), F.concat(F.lit(" T<a> b"), k), F.col("source"), k, "xx", extra).alias("record"))
+    return spread(table(spark, sf_dir, "documents")).select("doc_id", records.wrap_record(F.col("text"), F.concat(F.lit(" T<a> b"), k), F.col("source"), k, "xx", extra).alias("record"))
 
 
 @query("""SELECT doc_id, CASE WHEN text IS NULL THEN NULL WHEN doc_id % 3 = 0 THEN 'i' || doc_id WHEN doc_id % 3 = 1 THEN 'j' || doc_id END AS isbn, CASE WHEN text IS NOT NULL AND doc_id % 3 = 1 THEN 'cc' END AS license, text AS body FROM documents""")
 def record_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _split(table(spark, sf_dir, "documents"))
+    return _split(spread(table(spark, sf_dir, "documents")))
 
 
 def _split(docs: DataFrame) -> DataFrame:
@@ -197,7 +197,7 @@ def _split(docs: DataFrame) -> DataFrame:
 
 @query("""WITH p AS (SELECT doc_id, source || '/' || doc_id // 3 AS path FROM documents) SELECT doc_id, path, CASE WHEN f <> doc_id THEN f END AS kept FROM (SELECT *, min(doc_id) OVER (PARTITION BY path) AS f FROM p)""")
 def one_copy_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat_ws("/", "source", F.floor(F.col("doc_id") / 3).cast("string")).alias("path"))
+    docs = spread(table(spark, sf_dir, "documents")).select("doc_id", F.concat_ws("/", "source", F.floor(F.col("doc_id") / 3).cast("string")).alias("path"))
     return records.one_copy(docs.withColumn("n", F.col("doc_id")), "path", "n", "doc_id").select("doc_id", "path", "kept")
 
 
@@ -208,7 +208,7 @@ _LONG = r"""long_doc AS (SELECT 'long' || doc_id AS id, trim(regexp_replace(repe
 
 @query(f"WITH {_LONG} SELECT doc_id, chunk, substr(t, chunk * step + 1, 1500) AS part FROM (SELECT *, unnest(range(0, n)) AS chunk FROM plan)")
 def lid_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     whole = docs.where(F.length("text").between(1000, 1500)).select(F.concat(F.lit("long"), F.col("doc_id").cast("string")).alias("doc_id"), F.repeat(F.concat("text", F.lit(" ")), F.lit(40)).alias("text"))
     single = docs.select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("doc_id"), "text")
     return lid.chunks(whole.unionByName(single)).select("doc_id", F.col("chunk").cast("long"), "part")
@@ -220,7 +220,7 @@ _VOTES = f"""v AS (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'tr' ELSE lang E
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("part"), F.when(F.col("doc_id") % 4 == 0, "tr").otherwise(F.col("lang")).alias("lang"), (F.lit(0.5) + (F.col("doc_id") % 5) / 10).alias("prob"))
+    docs = spread(table(spark, sf_dir, "documents")).select("doc_id", F.col("text").alias("part"), F.when(F.col("doc_id") % 4 == 0, "tr").otherwise(F.col("lang")).alias("lang"), (F.lit(0.5) + (F.col("doc_id") % 5) / 10).alias("prob"))
     return docs.unionByName(docs.withColumns({"lang": F.lit("xx"), "prob": F.lit(0.25)}))
 
 
@@ -231,26 +231,26 @@ def lid_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {_VOTES} SELECT d.doc_id, CASE WHEN coalesce(max(share) FILTER (shares.lang = 'en') >= 0.5, false) THEN 'keep' ELSE 'cull' END AS decision FROM documents d LEFT JOIN shares USING (doc_id) GROUP BY d.doc_id""")
 def lang_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     return lid.audit(docs, lid.vote(_labelled(spark, sf_dir)), "en").select("doc_id", "decision")
 
 
 @query(r"""SELECT doc_id FROM documents WHERE length(regexp_replace(text, '^\s+|\s+$', '', 'g')) >= 500""")
 def min_length_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").where(audit.long_enough(F.col("text"))).select("doc_id")
+    return spread(table(spark, sf_dir, "documents")).where(audit.long_enough(F.col("text"))).select("doc_id")
 
 
 @query()
 def lid_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A classifier of the corpus's own languages, then chunks, labels, vote and decision."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     return lid.audit(docs, lid.vote(langid.label(lid.chunks(docs), langid.train(docs))), "en")
 
 
 @query()
 def profile_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with trigram profiles in place of the classifier."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     return lid.audit(docs, lid.vote(lid.label(lid.chunks(docs), lid.profiles(docs))), "en")
 
 
@@ -259,7 +259,7 @@ def labelled_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole audit of files, with the shares that the classifier finds in them."""
     files, catalog, done = _files(spark, sf_dir)
     files = files.select("path", "raw")
-    shares = checkpointed(audit.language_shares(files, langid.train(table(spark, sf_dir, "documents"))))
+    shares = checkpointed(audit.language_shares(files, langid.train(spread(table(spark, sf_dir, "documents")))))
     kept, culled, _ = audit.audit_files(files, catalog, done, shares, "en")
     return kept.select("path", "isbn", F.lit("completed").alias("status")).unionByName(culled.select("path", "isbn", F.lit("culled").alias("status")))
 
@@ -298,7 +298,7 @@ def _files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Data
     """(path, raw, doc_id), the catalog and the ledger."""
     k = F.col("doc_id")
     first = F.concat(F.lit("978"), F.lpad(k.cast("string"), 9, "0"))
-    docs = table(spark, sf_dir, "documents").where("text is not null").withColumn("code", F.concat(first, I.check_digit13(first)))
+    docs = spread(table(spark, sf_dir, "documents")).where("text is not null").withColumn("code", F.concat(first, I.check_digit13(first)))
     s = k.cast("string")
     wrapped = records.wrap_record(F.col("text"), F.concat(F.lit("W"), s), F.lit("someone"), F.col("code"), "xx")
     raw = F.when(k % 3 == 0, wrapped).when(k % 3 == 1, F.concat(F.lit("Title: H"), s, F.lit("\nISBN: "), F.col("code"), F.lit("\n\n"), "text")).otherwise(F.col("text"))
@@ -334,7 +334,7 @@ def audit_run(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT key, path, CASE WHEN NOT keep THEN 'culled' WHEN length(body) < 500 THEN 'no usable text' ELSE 'completed' END AS status, keep AND length(body) >= 500 AND least <> key AS copy, CASE WHEN keep AND length(body) >= 500 AND least = key THEN length(body) END AS written
   FROM r LEFT JOIN f USING (path)""")
 def download_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     path = F.concat_ws("/", "source", F.floor(F.col("doc_id") / 4).cast("string"))
     found = docs.select(F.col("doc_id").alias("key"), path.alias("path"), F.lit("web").alias("source"), F.col("text").alias("raw"))
     out = audit.save_downloads(found, lid.vote(_labelled(spark, sf_dir)), "en")
@@ -348,7 +348,7 @@ def download_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
 def saved_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts saved in a tree by two runs, the second beside the files of the first: whose file is at each path in the end."""
     root = delete_at_end(spark, f"{shared_dir(spark)}/tree-{uuid.uuid4().hex}")
-    docs, shares = table(spark, sf_dir, "documents"), checkpointed(lid.vote(_labelled(spark, sf_dir)))
+    docs, shares = spread(table(spark, sf_dir, "documents")), checkpointed(lid.vote(_labelled(spark, sf_dir)))
     path, key = F.concat_ws("/", "source", F.concat(F.floor(F.col("doc_id") / 4).cast("string"), F.lit(".txt"))), F.col("doc_id")
     found = docs.select(key.alias("key"), path.alias("path"), F.lit("web").alias("source"), F.lit("t").alias("title"), F.lit("a").alias("author"), F.col("text").alias("raw"))
     done = []
@@ -363,7 +363,7 @@ def saved_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT doc_id, text FROM documents")
 def mojibake_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts whose UTF-8 was read as Latin-1 once or twice, or not at all, and the search's repair of them."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     misread = lambda t: F.decode(F.encode(t, "UTF-8"), "ISO-8859-1")
     key, text = F.col("doc_id"), F.col("text")
     damaged = docs.select("doc_id", F.when(key % 3 == 0, misread(text)).when(key % 3 == 1, misread(misread(text))).otherwise(text).alias("text"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmill.operators import report, rules, screening
-from quillmill.plans.base import CATALOG_SQL, CHECK_SQL, catalog, query, table
+from quillmill.plans.base import CATALOG_SQL, CHECK_SQL, catalog, query, spread, table
 
 #: Rules over part names, types and brands; what they look for has no meaning beyond these tables.
 RULES = rules.RuleSet(
@@ -40,7 +40,7 @@ RULES = rules.RuleSet(
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as catalog rows: words of the type as title, subjects and description."""
     k, kind = F.col("p_partkey"), F.col("p_type")
-    return table(spark, sf_dir, "part").select(
+    return spread(table(spark, sf_dir, "part")).select(
         "p_partkey",
         F.when(k % 10 == 0, "").otherwise(kind).alias("title"),
         F.concat(F.split_part(kind, F.lit(" "), F.lit(2)), F.lit("; "), F.split_part(kind, F.lit(" "), F.lit(3))).alias("subjects"),
@@ -99,6 +99,16 @@ def rule_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.resolve(_screened(spark, sf_dir), RULES).select("p_partkey", "elim_category", "confidence", "elim_reason", "matched_terms")
 
 
+@query(f"""WITH {_RESOLVED} SELECT coalesce(elim_category, '') AS elim_category, coalesce(confidence, '') AS confidence, coalesce(elim_reason, '') AS elim_reason, count(*) AS rows, sum(l_quantity)::BIGINT AS quantity
+  FROM lineitem JOIN resolved ON l_partkey = p_partkey GROUP BY ALL""")
+def screened_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order line screened as a catalog row of its part: as many rows as a large catalog has."""
+    lines = spread(table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("p_partkey"), "l_quantity")).join(_rows(spark, sf_dir), "p_partkey")
+    rows = rules.resolve(rules.screen(lines, RULES), RULES)
+    text = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
+    return rows.groupBy(text("elim_category"), text("confidence"), text("elim_reason")).agg(F.count("*").alias("rows"), F.sum("l_quantity").cast("long").alias("quantity"))
+
+
 @query(f"WITH {_ROWS} SELECT label, count(*) AS hits FROM hits GROUP BY label")
 def rule_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.histogram(_screened(spark, sf_dir))
