@@ -58,10 +58,12 @@ def bucket_array(words: Column, buckets: int = BUCKETS, max_run: int = MAX_RUN)
         return F.transform(features, lambda f: (F.crc32(f) % buckets).cast("int"))
 
     def runs(w: Column, k: int) -> Column:
-        starts = F.when(F.size(w) >= k, F.sequence(F.lit(1), F.size(w) - (k - 1))).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.array_join(F.slice(w, i, k), " "))
+        starts = F.when(F.size(w) >= k, F.sequence(F.lit(0), F.size(w) - k)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.concat_ws(" ", *(F.get(w, i + d) for d in range(k))))
 
-    return hashed(words) if max_run == 1 else F.concat(hashed(words), *(hashed(runs(words, k)) for k in range(2, max_run + 1)))
+    if max_run == 1:
+        return hashed(words)
+    return let(words, lambda w: F.concat(hashed(w), *(hashed(runs(w, k)) for k in range(2, max_run + 1))))
 
 
 def bucket_counts(texts: DataFrame, text_col: str, buckets: int, max_run: int) -> list[int]:
