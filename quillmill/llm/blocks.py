@@ -141,6 +141,49 @@ class Gatherer:
                 yield int(b), tuple(c[first[b] : first[b + 1]] for c in columns)
 
 
+class RunGatherer:
+    """Collects bucket keys of numbered blocks over a task and gives them out by bucket, as one value: ascending keys, a run for each block.
+
+    The bucket, the block's place among those in hand and a key's KEPT_BITS make one number, so that sorting numbers is
+    all it takes; the blocks are told by the lengths of their runs and not beside each key.
+    """
+
+    def __init__(self, n: int, limit: int = 1 << 21):
+        self.limit, self.have, self.blocks, self.size = limit, [], [], 0
+        self.bits = min(16, 64 - KEPT_BITS - (n - 1).bit_length())  # of a block's place
+
+    def add(self, keys: np.ndarray, block: int) -> Iterator[tuple[int, bytes]]:
+        if not self.blocks or self.blocks[-1] != block:
+            if len(self.blocks) == 1 << self.bits:
+                yield from self.flush()
+            self.blocks.append(block)
+        bucket, low = keys >> T.U64(KEPT_BITS), keys & T.U64((1 << KEPT_BITS) - 1)
+        self.have.append(bucket << T.U64(KEPT_BITS + self.bits) | T.U64(len(self.blocks) - 1 << KEPT_BITS) | low)
+        self.size += len(keys)
+        if self.size >= self.limit:
+            yield from self.flush()
+
+    def flush(self) -> Iterator[tuple[int, bytes]]:
+        if self.size:
+            keys, blocks = np.concatenate(self.have), np.array(self.blocks, np.int64)
+            keys.sort()
+            run = keys >> T.U64(KEPT_BITS)
+            first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1], [True]]))
+            run, keys = run[first[:-1]], keys & T.U64((1 << KEPT_BITS) - 1)
+            bucket, place = (run >> T.U64(self.bits)).astype(np.int64), run & T.U64((1 << self.bits) - 1)
+            edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
+            for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                yield int(bucket[i]), squeeze(pack_sorted(keys[first[i] : first[j]]), blocks[place[i:j].astype(np.int64)], np.diff(first[i : j + 1]))
+        self.have, self.blocks, self.size = [], [], 0
+
+
+def runs(value: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys without their bucket, and the block and length of each run, from a value of a RunGatherer."""
+    planes, blocks, size = expand(value, np.uint8, np.int64, np.int64)
+    # where a run ends, the next key's difference has wrapped around
+    return unpack_sorted(planes) & T.U64((1 << KEPT_BITS) - 1), blocks, size
+
+
 def binary_batch(names: list[str], rows: list[tuple]) -> pa.RecordBatch:
     """Rows of integers with one binary value last."""
     columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)

@@ -42,7 +42,6 @@ from quillmill.llm import blocks as B
 from quillmill.llm import text as T
 from quillmill.llm.components import components, join_hubs
 from quillmill.llm.store import delete, tidy, written
-from quillmill.llm.substring_dedup import only_words
 
 CELL, LEADERS = 256, 8
 #: Most queries that a cell takes in one group.
@@ -59,8 +58,9 @@ def least_overlap(n: np.ndarray | int) -> np.ndarray | int:
     return (3 * n + 3) // 4
 
 
-def _lower_words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return only_words(T.lower_ascii(buf), off)
+def _lowered(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Texts to find words in; taking the white space out would cost as much as all their shingles."""
+    return T.lower_ascii(buf), off
 
 
 class NodeSets:
@@ -96,36 +96,36 @@ def _frequencies(table: DataFrame, k: int, n: int) -> DataFrame:
     """(block, blob of the keys of the shared prefix shingles of its sets and their numbers of sets)."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = B.Gatherer(n)
+        out = B.RunGatherer(n)
 
-        def rows(parts: Iterator) -> Iterator[pa.RecordBatch]:
-            for bucket, (key, block) in parts:
-                yield B.binary_batch(["bucket", "data"], [(bucket, B.squeeze(B.pack_sorted(key & LOW), block))])
+        def rows(parts: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+            for row in parts:
+                yield B.binary_batch(["bucket", "data"], [row])
 
         for batch in batches:
             for block, _, nodes in _chunks(batch, k):
                 if len(nodes.ids):
-                    key = nodes.prefixes(n)[0]
-                    yield from rows(out.add(key, np.full(len(key), block)))
+                    yield from rows(out.add(nodes.prefixes(n)[0], block))
         yield from rows(out.flush())
 
     def count(group: pa.Table) -> pa.Table:
-        parts = [B.expand(x.as_py(), np.uint8, np.int64) for x in group["data"]]
-        key, block = np.concatenate([B.unpack_sorted(p[0]) for p in parts]), np.concatenate([p[1] for p in parts])
+        key, block, size = (np.concatenate(c) for c in zip(*(B.runs(x.as_py()) for x in group["data"]), strict=True))
+        blocks, place = np.unique(block, return_inverse=True)
+        block = np.repeat(place.astype(np.uint16 if len(blocks) <= 1 << 16 else np.int64), size)
         order = np.argsort(key)
         key, block = key[order], block[order]
         size = np.diff(np.append(np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])), len(key)))
         total = np.repeat(size, size)
         shared = total > 1
         key, block, total = key[shared], block[shared], total[shared]
-        order = np.lexsort((key, block))
+        order = np.argsort(block, kind="stable")  # a radix sort, and keys stay ascending
         key, block, total = key[order], block[order], total[order]
         fresh = np.ones(len(key), bool)
         fresh[1:] = (key[1:] != key[:-1]) | (block[1:] != block[:-1])
         key, block, total = key[fresh], block[fresh], np.minimum(total[fresh], 2**31 - 1).astype(np.int32)
         edges = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]])) if len(block) else np.zeros(1, int)
         bucket = np.full(1, group["bucket"][0].as_py(), T.U64)
-        rows = [(int(block[i]), B.squeeze(bucket, B.pack_sorted(key[i:j]), total[i:j])) for i, j in zip(edges[:-1], edges[1:], strict=True)]
+        rows = [(int(blocks[block[i]]), B.squeeze(bucket, B.pack_sorted(key[i:j]), total[i:j])) for i, j in zip(edges[:-1], edges[1:], strict=True)]
         return pa.Table.from_batches([B.binary_batch(["block", "data"], rows)])
 
     gathered = table.select("block", "ids", "texts").mapInArrow(gather, "bucket long, data binary")
@@ -365,7 +365,7 @@ def _links(sets: DataFrame, parts: DataFrame, holders: DataFrame, n: int) -> Dat
 def jaccard_components(docs: DataFrame, k: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id (least id that links reach) of each row."""
     spark, kind = docs.sparkSession, docs.schema[id_col].dataType
-    table = B.packed(docs, id_col, text_col, _lower_words)
+    table = B.packed(docs, id_col, text_col, _lowered)
     n = B.buckets(table)
     shared = _frequencies(table, k, n)
     found = table.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_candidates(k, n, to_arrow_type(kind)), f"kind int, key long, doc_id {kind.simpleString()}, n long, data binary")

@@ -18,6 +18,7 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -70,11 +71,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, shard_docs: int = SHARD_DOCS
         for batch in batches:
             buf, off = T.utf8(batch.column(1))
             words, same = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
-            for i, j in T.slices(off):
-                own = T.lower_ascii(buf[off[i] : off[j]])
-                starts, ends, first = T.word_spans(own, off[i : j + 1] - off[i])
-                words[i:j] = np.diff(first)
-                same[i:j] = _sequence_ids(T.span_hashes(own, starts, ends), first)
+            for i, j in T.slices(off, 1 << 18):
+                words[i:j], same[i:j] = measured(buf[off[i] : off[j]], off[i : j + 1] - off[i])
             given = batch.column(4).to_numpy(zero_copy_only=False)
             salt = np.arange(batch.num_rows) % SALTS  # rows that repeat one id and text go to several shards too
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words), batch.column(2), pa.array(np.where(given, batch.column(3).to_numpy(), same)), pa.array(salt, pa.int32())], ["doc_id", "n", "source", "cluster", "salt"])
@@ -99,20 +97,17 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, shard_docs: int = SHARD_DOCS
         columns = list(zip(*out, strict=True))
         return pa.table([pa.array(columns[0], table["doc_id"].type), *(pa.array(c, pa.int64()) for c in columns[1:])], ["doc_id", "piece", "start_word", "n_words", "bin_id"])
 
-    measured = rows.mapInArrow(measure, f"doc_id {id_type}, n long, source string, cluster long, salt int")
+    sizes = rows.mapInArrow(measure, f"doc_id {id_type}, n long, source string, cluster long, salt int")
     if clusters is not None:
         given = clusters.select(F.col("doc_id").alias("__id"), F.xxhash64(F.col("cluster").cast("string")).alias("__cluster"), F.col("cluster").isNotNull().alias("__has"))
-        joined = measured.join(given, F.col("doc_id") == F.col("__id"), "left")
-        measured = joined.withColumn("cluster", F.when(F.col("__has"), F.col("__cluster")).otherwise(F.col("cluster"))).drop("__id", "__cluster", "__has")
-    sharded = measured.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", "salt"), F.lit(shards))).drop("salt")
+        joined = sizes.join(given, F.col("doc_id") == F.col("__id"), "left")
+        sizes = joined.withColumn("cluster", F.when(F.col("__has"), F.col("__cluster")).otherwise(F.col("cluster"))).drop("__id", "__cluster", "__has")
+    sharded = sizes.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", "salt"), F.lit(shards))).drop("salt")
     return sharded.groupBy("shard").applyInArrow(place, PACKED.format(id=id_type))
 
 
-def _sequence_ids(words: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Hash of each text's sequence of words."""
-    n = len(words)
-    sums = np.zeros(n + 1, T.U64)
-    np.cumsum(T.mix(words) * T._power(T._BASE, n), out=sums[1:])
-    lo, hi = first[:-1], first[1:]
-    start = T._power(T._INVERSE, n + 1)[np.minimum(lo, n)]
-    return T.mix((sums[hi] - sums[lo]) * start + (hi - lo).astype(T.U64)).view(np.int64)
+def measured(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of words of each text, and a hash of its sequence of words (A-Z in lower case)."""
+    joined, starts, ends, n = T.joined_words(buf, off)
+    same = b"".join(blake2b(joined[a:b], digest_size=8).digest() for a, b in zip(starts.tolist(), ends.tolist(), strict=True))
+    return n, np.frombuffer(same, np.int64)

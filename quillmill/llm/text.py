@@ -16,6 +16,9 @@ IS_WORD = np.ones(256, bool)
 IS_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_FLAT = np.where(IS_WORD, _LOWER, np.uint8(0x20))
+#: Masks of the first 0 to 8 bytes of a number as it lies in memory.
+_FIRST = np.tril(np.full((9, 8), 255, np.uint8), -1).view(U64).ravel()
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -71,18 +74,33 @@ def word_spans(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """Starts and ends of all words, and for each text the index of its first word (one more entry at the end)."""
     if not len(buf):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(off), np.int64)
-    word = IS_WORD[buf]
-    edge = np.zeros(len(buf) + 1, bool)
-    edge[off] = True
-    start = word.copy()
-    start[1:] &= ~word[:-1] | edge[1:-1]
-    stop = word
-    last = word.copy()
-    last[:-1] &= ~stop[1:] | edge[1:-1]
+    word = (buf - np.uint8(9) > np.uint8(4)) & (buf != np.uint8(0x20))  # IS_WORD, without a look-up for each byte
+    start, last = word.copy(), word.copy()
+    start[1:] &= ~word[:-1]
+    last[:-1] &= ~word[1:]
+    begin, end = off[off < len(buf)], off[off > 0] - 1
+    start[begin], last[end] = word[begin], word[end]
     starts, ends = np.flatnonzero(start), np.flatnonzero(last) + 1
     return starts, ends, np.searchsorted(starts, off)
 
 
+def joined_words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes that hold each text's words, A-Z in lower case and joined by one space; where each text's start and end; its number of words."""
+    flat = _FLAT[buf]
+    word = flat != np.uint8(0x20)
+    start, keep = word.copy(), word.copy()
+    start[1:] &= ~word[:-1]
+    keep[1:] |= word[:-1]
+    begin = off[off < len(buf)]
+    start[begin] = keep[begin] = word[begin]
+    gone = np.flatnonzero(~keep)
+    joined, first = flat[keep] if len(gone) else flat, off - np.searchsorted(gone, off)
+    ends = first[1:].copy()
+    some = np.flatnonzero(ends > first[:-1])
+    ends[some] -= joined[ends[some] - 1] == np.uint8(0x20)
+    return joined, first[:-1], ends, np.diff(np.searchsorted(np.flatnonzero(start), off))
+
+
 def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hash of the bytes of each span."""
     n = len(buf)
@@ -93,6 +111,23 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix((sums[ends] - sums[starts]) * _power(_INVERSE, n)[starts] + (ends - starts).astype(U64))
 
 
+def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of each word, eight at a time; cheaper than span_hashes, of which long words (over 64 bytes) have theirs."""
+    size = ends - starts
+    eight = np.lib.stride_tricks.as_strided(np.append(buf, np.zeros(8, np.uint8))[:8].view(U64), (len(buf) + 1,), (1,), writeable=False)
+    out = mix((eight[starts] & _FIRST[np.minimum(size, 8)]) * U64(_BASE) + size.astype(U64))
+    far = np.flatnonzero((size > 8) & (size <= 64))
+    at, rest = starts[far] + 8, size[far] - 8
+    while len(far):
+        out[far] = mix(out[far] * U64(_BASE) + (eight[at] & _FIRST[np.minimum(rest, 8)]))
+        more = rest > 8
+        far, at, rest = far[more], at[more] + 8, rest[more] - 8
+    long = np.flatnonzero(size > 64)
+    if len(long):
+        out[long] = span_hashes(buf, starts[long], ends[long])
+    return out
+
+
 def gram_hashes(values: np.ndarray, k: int) -> np.ndarray:
     """Hash of each k consecutive values."""
     n = len(values)
@@ -122,23 +157,23 @@ def sliding_min(values: np.ndarray, w: int) -> np.ndarray:
 def shingle_sets(buf: np.ndarray, off: np.ndarray, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct k-word shingles of each text and their offsets; a shorter text has its whole sequence as one."""
     starts, ends, first = word_spans(buf, off)
-    words = span_hashes(buf, starts, ends)
+    words = word_hashes(buf, starts, ends)
     n_words = np.diff(first)
-    grams = gram_hashes(words, k)
-    doc_of = np.repeat(np.arange(len(n_words)), n_words)
-    inside = doc_of[: len(grams)] == doc_of[k - 1 :] if len(grams) else np.zeros(0, bool)
-    doc, value = doc_of[: len(grams)][inside], grams[inside]
+    n = np.where(n_words < k, np.minimum(n_words, 1), n_words - k + 1)
+    own = np.concatenate([[0], np.cumsum(n)])
+    at = np.arange(own[-1]) + np.repeat(first[:-1] - own[:-1], n)
     short = np.flatnonzero((n_words > 0) & (n_words < k))
-    if len(short):
-        whole = np.array([int(_whole(words[first[i] : first[i + 1]])) for i in short], U64)
-        doc, value = np.concatenate([doc, short]), np.concatenate([value, whole])
-    order = np.argsort(value)
-    order = order[np.argsort(doc[order].astype(np.uint16 if len(n_words) < 1 << 16 else np.int64), kind="stable")]  # a radix sort
-    doc, value = doc[order], value[order]
-    keep = np.ones(len(doc), bool)
-    keep[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
-    doc, value = doc[keep], value[keep]
-    return value, np.searchsorted(doc, np.arange(len(n_words) + 1))
+    whole = np.zeros(len(at), bool)
+    whole[own[short]] = True
+    value = np.empty(len(at), U64)
+    value[~whole] = gram_hashes(words, k)[at[~whole]]
+    value[whole] = [_whole(words[first[i] : first[i + 1]]) for i in short]
+    for i, j in zip(own[:-1][n > 1].tolist(), own[1:][n > 1].tolist(), strict=True):  # far cheaper than an order over all texts
+        value[i:j].sort()
+    keep = np.ones(len(value), bool)
+    keep[1:] = value[1:] != value[:-1]
+    keep[own[:-1][n > 0]] = True
+    return value[keep], own - np.searchsorted(np.flatnonzero(~keep), own)
 
 
 def _whole(words: np.ndarray) -> U64:
